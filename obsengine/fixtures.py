@@ -68,10 +68,12 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def with_views(query: str) -> str:
     """``query`` preceded by the views it may name, for an engine that has the tables."""
-    names = {table: table for table in TABLES}
+    tables = {table: table for table in TABLES}
     views = ",\n".join(
-        f"{name} AS ({text.format(**names)})" for name, text in VIEWS.items() if name in query
-    )
-    return f"WITH {views}\n{query}" if not query.lstrip().upper().startswith("WITH ") else (
-        f"WITH {views},\n{query.lstrip()[5:]}"
+        f"{name} AS ({text.format(**tables)})" for name, text in VIEWS.items() if name in query
     )
+    if not views:
+        return query
+    if query.startswith("WITH "):
+        return f"WITH {views},\n{query.removeprefix('WITH ')}"
+    return f"WITH {views}\n{query}"

@@ -5,16 +5,16 @@ skipped. All aggregates combine map-side, so a place that holds a large share
 of the rows costs its tasks a few partial rows, never the rows themselves.
 """
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from obsengine import constants as C
-from obsengine.functions.columns import available, banded, with_temp_category
+from obsengine.functions.columns import banded, with_temp_category
 
-# Measures besides temperature whose mean each place reports.
-MEAN_MEASURES = ("humidity", "pressure", "wind_speed")
+# Measures besides temperature whose mean each place reports, and their columns.
+MEASURES = {"humidity": "humidity", "pressure": "pressure", "wind_speed": "wind_speed"}
 
 
 def monthly_profile(
@@ -22,7 +22,7 @@ def monthly_profile(
     city: str = "city",
     date: str = "date",
     temperature: str = "temperature",
-    means: Sequence[str] = MEAN_MEASURES,
+    measures: Mapping[str, str] = MEASURES,
     cutoffs: Sequence[float] = C.TEMPERATURE_CUTOFFS,
 ) -> DataFrame:
     """Per place and month: everything that the descriptive tables are rolled up from.
@@ -32,8 +32,9 @@ def monthly_profile(
     Columns that a roll-up does not use are pruned from the plan.
     """
     value = F.col(temperature)
+    present = {name: column for name, column in measures.items() if column in df.columns}
     category = banded(value, cutoffs, range(len(cutoffs) + 1))
-    day_bit = F.expr(f"shiftleft(1, day(`{date}`))")
+    day_bit = F.call_function("shiftleft", F.lit(1), F.day(date) - 1)
     return df.groupBy(
         F.col(city).alias("city"), F.year(date).alias("year"), F.month(date).alias("month")
     ).agg(
@@ -45,8 +46,8 @@ def monthly_profile(
         F.var_pop(value).alias("temperature_var"),
         F.bit_or(day_bit).alias("days_seen"),
         *(F.count_if(category == i).alias(f"category_{i}") for i in range(len(cutoffs) + 1)),
-        *(F.sum(name).alias(f"{name}_sum") for name in available(df, means)),
-        *(F.count(name).alias(f"{name}_count") for name in available(df, means)),
+        *(F.sum(column).alias(f"{name}_sum") for name, column in present.items()),
+        *(F.count(column).alias(f"{name}_count") for name, column in present.items()),
     )
 
 
@@ -55,7 +56,7 @@ def _mean(total: str, count: str) -> Column:
 
 
 def _profiled_means(profile: DataFrame) -> dict[str, Column]:
-    names = [name for name in MEAN_MEASURES if f"{name}_sum" in profile.columns]
+    names = [name for name in MEASURES if f"{name}_sum" in profile.columns]
     return {f"avg_{name}": _mean(f"{name}_sum", f"{name}_count") for name in names}
 
 

@@ -5,7 +5,7 @@ library's. All tables start from one row per place and day, so that rows
 repeated by station and alert matches are counted once.
 """
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from obsengine import constants as C
@@ -36,7 +36,8 @@ def daily_grain(df: DataFrame, city: str = "city", date: str = "date") -> DataFr
     )
 
 
-_RAINED = F.col("precipitation") > 0
+def _rainy_days() -> Column:
+    return F.count_if(F.col("precipitation") > 0)
 
 
 def city_temperature_stats(df: DataFrame, **names) -> DataFrame:
@@ -49,7 +50,7 @@ def city_temperature_stats(df: DataFrame, **names) -> DataFrame:
             F.avg("temp_min").alias("avg_temp_min"),
             F.sum("precipitation").alias("total_precipitation"),
             F.avg("windspeed_max").alias("avg_windspeed"),
-            F.count_if(_RAINED).alias("days_with_rain"),
+            _rainy_days().alias("days_with_rain"),
             F.max("temp_max").alias("extreme_temp_max"),
             F.min("temp_min").alias("extreme_temp_min"),
         ),
@@ -75,7 +76,7 @@ def monthly_patterns(df: DataFrame, **names) -> DataFrame:
             F.avg(midpoint).alias("avg_temperature"),
             F.sum("precipitation").alias("total_precipitation"),
             F.count("precipitation").alias("_days"),
-            F.count_if(_RAINED).alias("precipitation_days"),
+            _rainy_days().alias("precipitation_days"),
             F.var_samp(midpoint).alias("temperature_variance"),
         )
         .withColumn(
