@@ -26,9 +26,9 @@ from obsengine.session import scratch_path
 from obsengine.sources import catalog, jdbc, readers, writers
 
 SEED = 7
-SUMMARY_FROM = 1995
-LOOKUP_CITY = "FRANCE"
-LOOKUP_START, LOOKUP_END = date(1993, 3, 1), date(1996, 8, 31)
+SUMMARY_FROM = 1998
+LOOKUP_CITY = "NATION_6"
+LOOKUP_START, LOOKUP_END = date(1997, 3, 1), date(2000, 8, 31)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,7 +76,7 @@ def _gappy(spark: SparkSession, sf_dir: str) -> DataFrame:
         {
             "temp_max": F.nullif("temp_max", F.lit(50.0)),
             "precipitation": F.nullif("precipitation", F.lit(0.0)),
-            "city_name": F.nullif("city", F.lit("CHINA")),
+            "city_name": F.nullif("city", F.lit("NATION_8")),
         }
     )
 
@@ -416,7 +416,7 @@ _ENRICHED = f"""{_FACTS}, {_PLACES}, {_SITES}, {_RULES}, enriched AS (
 _GAPPY = """gappy AS (
   SELECT city, latitude, longitude, date, NULLIF(temp_max, 50) AS temp_max, temp_min,
          NULLIF(precipitation, 0) AS precipitation, windspeed_max,
-         NULLIF(city, 'CHINA') AS city_name FROM obs_daily)"""
+         NULLIF(city, 'NATION_8') AS city_name FROM obs_daily)"""
 _STATS = """stats AS (
   SELECT city, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
          round(avg(temp_max), 6) AS avg_temp_max, round(avg(temp_min), 6) AS avg_temp_min,

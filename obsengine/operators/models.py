@@ -8,7 +8,7 @@ library's default seeds differ between processes.
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -21,7 +21,7 @@ from obsengine import constants as C
 from obsengine.functions import columns as fn
 from obsengine.operators.metrics import classification_metrics, regression_metrics
 from obsengine.operators.splits import hash_split
-from obsengine.session import materialize
+from obsengine.session import materialize, scratch_path
 
 ROW_KEYS = ("city_name", "date")
 
@@ -58,6 +58,14 @@ def _pipeline(features: Sequence[str], estimator) -> Pipeline:
     return Pipeline(stages=[assembler, scaler, estimator])
 
 
+def _without_summary(model: PipelineModel, df: DataFrame) -> PipelineModel:
+    # A forest classifier's training summary holds the session, which cannot be
+    # sent to tasks once the session has observed a write. A loaded model has none.
+    path = scratch_path(df.sparkSession, "classifier")
+    model.save(path)
+    return PipelineModel.load(path)
+
+
 def temperature_model(
     df: DataFrame,
     seed: int,
@@ -111,11 +119,9 @@ def precipitation_model(
         maxDepth=depth,
         seed=seed,
     )
-    scored = (
-        _pipeline(names, forest)
-        .fit(train)
-        .transform(test)
-        .select("precip_class", "prediction", vector_to_array("probability").alias("probability"))
+    model = _without_summary(_pipeline(names, forest).fit(train), train)
+    scored = model.transform(test).select(
+        "precip_class", "prediction", vector_to_array("probability").alias("probability")
     )
     return ModelResult(scored, classification_metrics(scored))
 
