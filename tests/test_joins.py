@@ -37,7 +37,7 @@ def coordinates(rng, count):
 
 
 @pytest.mark.parametrize("limit", STRATEGIES.values(), ids=STRATEGIES)
-@pytest.mark.parametrize(("how", "seed"), itertools.product(["left", "inner"], [1, 2]))
+@pytest.mark.parametrize(("how", "seed"), list(itertools.product(["left", "inner"], [1, 2])))
 def test_band_join_equals_brute_force(spark, limit, how, seed):
     rng = random.Random(seed)
     left, right = coordinates(rng, 400), coordinates(rng, 120)
@@ -138,3 +138,32 @@ def test_measured_bytes_follow_the_rows(frame):
     assert 1000 < joins.measured_bytes(df) < 1300
     assert joins.measured_bytes(df.limit(0)) == 0
     assert joins.fits_broadcast(df, 1300) and not joins.fits_broadcast(df, 1300, copies=9)
+
+
+def test_copies_of_one_row_are_split_at_run_time(spark, plan):
+    # Copies share a salt, so the adaptive skew join has to split their partition.
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        # Wide enough that shuffle compression does not fold the copies.
+        wide = random.Random(0).randbytes(100_000).hex()
+        left = spark.range(0, 900, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("i"),
+            F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), "id")).alias("k"),
+            F.when(F.col("id") % 3 == 0, F.lit(wide)).alias("payload"),
+        )
+        right = spark.range(1000).selectExpr("if(id = 0, 'hot', concat('k', id)) as l", "id as n")
+        joined = joins.keyed_join(left, right, [("k", "l")], broadcast_limit=0)
+        assert "skew=true" in plan(joined)
+        assert joined.count() == 900
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
