@@ -1,6 +1,7 @@
 """File sinks."""
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,16 @@ from obsengine.session import materialize
 SINGLE_FILE_ROWS = 1_000_000
 
 
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def write_trusted(df: DataFrame, path: str, replace_all: bool = True) -> None:
     """Overwrite Parquet partitioned by ``date``.
 
@@ -20,13 +31,17 @@ def write_trusted(df: DataFrame, path: str, replace_all: bool = True) -> None:
     ``replace_all=False`` only the dates present in ``df`` are replaced.
     """
     mode = "static" if replace_all else "dynamic"
-    (
+    writer = (
         df.hint("rebalance", "date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", mode)
         .partitionBy("date")
-        .parquet(path)
     )
+    # A task's cost here is its files more than its bytes: keep all cores busy
+    # even if the dates are small.
+    smallest = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    with _setting(df.sparkSession, smallest, "16KB"):
+        writer.parquet(path)
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
