@@ -63,3 +63,8 @@ def ml_summary(metrics: Mapping[str, DataFrame]) -> DataFrame:
         for model, df in metrics.items()
     ]
     return reduce(DataFrame.union, rows)
+
+
+def preview(df: DataFrame, rows: int = 3) -> DataFrame:
+    """Any few rows of ``df``, for a look at them."""
+    return df.limit(rows)
