@@ -132,8 +132,12 @@ def _payload_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     # One payload per place and year, as the requests are.
     payloads = (
         _gappy(spark, sf_dir)
-        .groupBy("city", "latitude", "longitude", F.year("date"))
-        .agg(F.collect_list(day).alias("d"))
+        .groupBy("city", F.year("date"))
+        .agg(
+            F.any_value("latitude").alias("latitude"),
+            F.any_value("longitude").alias("longitude"),
+            F.collect_list(day).alias("d"),
+        )
         .select(
             "city",
             "latitude",

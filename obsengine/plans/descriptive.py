@@ -62,9 +62,9 @@ def descriptive_run(df: DataFrame, root: str | None = None, **names) -> dict[str
     """The descriptive tables and their ``execution_summary``; written if ``root`` is given."""
     tables = descriptive_tables(df, **names)
     tables = {name: materialize(table, name) for name, table in tables.items()}
-    tables["execution_summary"] = execution_summary(tables)
+    tables["execution_summary"] = materialize(execution_summary(tables), "execution-summary")
     if root is not None:
-        save_results(tables, root, TABLE_ORDER)
+        save_results(tables, root, TABLE_ORDER, stored=True)
     return tables
 
 

@@ -26,20 +26,25 @@ def build_session(app_name: str = "obsengine", master: str | None = None, **extr
     return builder.getOrCreate()
 
 
+# Temporary folders of local sessions, by application.
+_local_roots: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the session's ``spark.checkpoint.dir``.
 
     Only a local session may fall back to a temporary folder, since its driver
     and executors are one process.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="obsengine-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if context.applicationId not in _local_roots:
+        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="obsengine-")
+    return _local_roots[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

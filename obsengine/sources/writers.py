@@ -70,17 +70,20 @@ def save_results(
     root: str,
     order: Mapping[str, Sequence[str]] | None = None,
     single_file_rows: int = SINGLE_FILE_ROWS,
+    stored: bool = False,
 ) -> None:
     """Write each table as Parquet and as headered CSV, sorted by its ``order`` columns.
 
     Each table is computed once and stored; both formats copy the stored rows.
+    Say ``stored`` if the tables are read from files already.
     Up to ``single_file_rows`` rows become one file per format, and a larger
     table one file per range of its order.
     """
     order = order or {}
     root = root.rstrip("/")
     for name, df in results.items():
-        rows = _laid_out(materialize(df, name), order.get(name, ()), single_file_rows)
+        table = df if stored else materialize(df, name)
+        rows = _laid_out(table, order.get(name, ()), single_file_rows)
         parquet = rows.write.mode("overwrite").option("compression", "snappy")
         parquet.parquet(f"{root}/descriptive_analytics/{name}")
         csv = rows.write.mode("overwrite").option("header", True)
