@@ -7,6 +7,8 @@ the SQL adds 0: engines differ in the sign that such a zero keeps.
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 import uuid
 from collections.abc import Callable
 from datetime import date
@@ -271,6 +273,19 @@ def _weather_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Registry
 
 
+def _extra(what: str) -> dict:
+    """Queries or SQL of the optional parts, if their files are there at all."""
+    found: dict = {}
+    for name in ("obsengine.llm.queries", "corpus_pipeline"):
+        try:
+            there = importlib.util.find_spec(name) is not None
+        except ModuleNotFoundError:
+            there = False
+        if there:
+            found |= getattr(importlib.import_module(name), what)
+    return found
+
+
 def queries() -> dict[str, Query]:
     """Every operator as ``(spark, sf_dir) -> DataFrame``."""
 
@@ -283,7 +298,7 @@ def queries() -> dict[str, Query]:
 
         return run
 
-    return {
+    found = {
         # Sources and sinks
         "scan_parquet": _scan_parquet,
         "raw_batch_roundtrip": _raw_batch_roundtrip,
@@ -391,6 +406,7 @@ def queries() -> dict[str, Query]:
         "ml_summary": lambda spark, sf_dir: ml_run(_enriched(spark, sf_dir), SEED)["summary"],
         "ml_predictions": _ml_predictions,
     }
+    return found | _extra("QUERIES")
 
 
 # SQL equivalents
@@ -637,4 +653,4 @@ FROM scored""",
 
 def oracle_sql() -> dict[str, str]:
     """SQL text per query; model outputs and other unstable results have none."""
-    return {name: fixtures.with_views(query) for name, query in _SQL.items()}
+    return {name: fixtures.with_views(query) for name, query in _SQL.items()} | _extra("SQL")
