@@ -51,7 +51,7 @@ def bitmap(keys: DataFrame, key: str, bits: int = BITMAP_BITS) -> DataFrame:
     """
     cell, bit = _slot(F.col(key), bits)
     return (
-        keys.select(cell.alias("_cell"), F.shiftleft(F.lit(1), bit).alias("_mask"))
+        keys.select(cell.alias("_cell"), F.call_function("shiftleft", F.lit(1), bit).alias("_mask"))
         .groupBy("_cell")
         .agg(F.bit_or("_mask").alias("_mask"))
     )
@@ -61,7 +61,7 @@ def possibly(df: DataFrame, key: Column, marks: DataFrame, bits: int = BITMAP_BI
     """``df`` with a boolean column ``_possible``: whether the bitmap may hold the row's key."""
     cell, bit = _slot(key, bits)
     joined = df.withColumns({"_cell": cell, "_bit": bit}).join(F.broadcast(marks), "_cell", "left")
-    mark = F.coalesce(F.shiftrightunsigned("_mask", F.col("_bit")).bitwiseAND(F.lit(1)) == 1, F.lit(False))
+    mark = F.coalesce(F.call_function("shiftrightunsigned", F.col("_mask"), F.col("_bit")).bitwiseAND(F.lit(1)) == 1, F.lit(False))
     return joined.withColumn("_possible", mark).drop("_cell", "_bit", "_mask")
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from obsengine.llm.secrets import scan_sql
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -20,8 +22,26 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from obsengine.llm import secrets as s
+
+    found = s.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = len(s.BASE)
+    count = lambda n: F.size(F.filter("spans", lambda x: x["kind"] == n)).cast("long")
+    first = F.filter("spans", lambda x: x["kind"] < base)
+    return found.select(
+        "row.doc_id",
+        *(count(n).alias(f"n_{kind}") for n, kind in enumerate(s.BASE)),
+        F.sha2(s.spelled(first), 256).alias("base_sha256"),
+        s.spelled(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op4_secret_scans": op4_secret_scans,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_secret_scans": scan_sql(),
+}
