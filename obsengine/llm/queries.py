@@ -37,9 +37,16 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from obsengine.llm.near_join import near_join
+
+    return near_join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op4_secret_scans": op4_secret_scans,
+    "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
 }
 
 SQL: dict[str, str] = {
