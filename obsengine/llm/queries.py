@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from obsengine.llm.line_dedup import dedup_sql
 from obsengine.llm.secrets import scan_sql
 
 
@@ -43,12 +44,22 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_join(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from obsengine.llm.line_dedup import dedup_lines
+
+    out = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256")
+    return out.select("row.doc_id", "n_lines", "n_exact", "n_near", digest)
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op4_secret_scans": op4_secret_scans,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+    "op5_line_dedup": op5_line_dedup,
 }
 
 SQL: dict[str, str] = {
     "op4_secret_scans": scan_sql(),
+    "op5_line_dedup": dedup_sql(),
 }
