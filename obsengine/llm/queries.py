@@ -13,6 +13,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """A file of the public tokenizers, which every machine has installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from obsengine.llm.quality_rules import quality_rules
 
@@ -52,11 +59,18 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "n_lines", "n_exact", "n_near", digest)
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from obsengine.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op4_secret_scans": op4_secret_scans,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op5_line_dedup": op5_line_dedup,
+    "op3_best_fit_packing": op3_best_fit_packing,
 }
 
 SQL: dict[str, str] = {
