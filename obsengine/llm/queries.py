@@ -65,12 +65,22 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from obsengine.llm.token_files import read_ids, write_ids
+    from obsengine.session import scratch_path
+
+    folder = scratch_path(spark, "token-files")
+    write_ids(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), folder)
+    return read_ids(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op4_secret_scans": op4_secret_scans,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op5_line_dedup": op5_line_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op10_token_files": op10_token_files,
 }
 
 SQL: dict[str, str] = {

@@ -76,6 +76,9 @@ class PieceEncoder:
         self._bare = _Known(self._by_piece, self.LIMIT)
         self._after_space = _Known(lambda word: self._by_piece(" " + word), self.LIMIT)
 
+    def largest_id(self) -> int:
+        return self._tokenizer.get_vocab_size(with_added_tokens=True) - 1
+
     def _by_model(self, cut_out: str) -> bytes:
         cut_out = cut_out.encode().decode("latin-1").translate(_BYTES)
         return array("I", [t.id for t in self._model.tokenize(cut_out)]).tobytes()
