@@ -74,6 +74,18 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ids(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op8_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from obsengine.llm.sentence_pieces import encode_pieces
+
+    found = encode_pieces(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op4_secret_scans": op4_secret_scans,
@@ -81,6 +93,7 @@ QUERIES = {
     "op5_line_dedup": op5_line_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op10_token_files": op10_token_files,
+    "op8_sentence_pieces": op8_sentence_pieces,
 }
 
 SQL: dict[str, str] = {
