@@ -240,10 +240,10 @@ class PieceModel:
         parts = list(map(self._shown.__getitem__, listed))
         for i, part in enumerate(parts):  # the space that encoding has put before the text
             plain = not self._is_byte[listed[i]] and listed[i] != self._unknown
-            if not (self._dummy or self._squeeze) or not plain or part[:1] != b" ":
+            if not (self._dummy or self._squeeze) or not plain:
                 break
-            parts[i] = part[1:]
-            if not self._squeeze:
+            parts[i] = part.lstrip(b" ") if self._squeeze else part.removeprefix(b" ")
+            if parts[i] or not self._squeeze:
                 break
         try:
             return b"".join(parts).decode()
