@@ -86,6 +86,13 @@ def op8_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from obsengine.llm.rule_ensemble import classify
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return classify(docs, table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op4_secret_scans": op4_secret_scans,
@@ -94,6 +101,7 @@ QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op10_token_files": op10_token_files,
     "op8_sentence_pieces": op8_sentence_pieces,
+    "op6_rule_ensemble": op6_rule_ensemble,
 }
 
 SQL: dict[str, str] = {
