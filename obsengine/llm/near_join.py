@@ -13,10 +13,10 @@ least ``percent``. The join goes through four narrowing levels:
 4. group pairs are expanded to members and verified on the whole sets.
 
 Only connected classes are asked for, so pairs inside what is known to be one
-component need no check. First each group meets one pivot per shingle and size
-band, which is linear however many documents share it. Only then do groups of
-different components that share a shingle meet, and never two groups of the
-component that holds most of them.
+component need no check. First each group meets at most two pivots, those that
+share most of its prefix, which is linear however many documents are alike.
+Only then do groups of different components that share a shingle meet, and
+never two groups of the component that holds most of them.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from obsengine.llm.common import bitmap, components, possibly
 from obsengine.llm.shingles import shingle_set
@@ -79,12 +80,14 @@ def _key(values: np.ndarray) -> bytes:
 
 
 def _prefixes(docs: DataFrame, rarity, size: int, percent: int) -> DataFrame:
-    """Per row: id, n, the 128-bit key of its set, the 64-bit name of its group, its prefix."""
+    """Per row: id, n, the 128-bit key of its set, the 64-bit name of its group, its prefix
+    and how many of that are not very common."""
 
     def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = rarity.value
+        common = _common_level(level)
         for batch in batches:
-            sizes, keys, groups, parts = [], [], [], []
+            sizes, keys, groups, parts, cold = [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 found = shingle_set(text, size)
                 n = len(found)
@@ -93,6 +96,7 @@ def _prefixes(docs: DataFrame, rarity, size: int, percent: int) -> DataFrame:
                     keys.append(None)
                     groups.append(None)
                     parts.append(found.view(np.int64))
+                    cold.append(0)
                     continue
                 order = np.lexsort((found, level[found >> np.uint64(64 - TABLE_BITS)]))
                 head = found[order[: n - (percent * n + 99) // 100 + 1]]
@@ -100,6 +104,7 @@ def _prefixes(docs: DataFrame, rarity, size: int, percent: int) -> DataFrame:
                 name = xxhash.xxh3_64_intdigest(head.tobytes() + n.to_bytes(8, "little"))
                 groups.append(name - (1 << 63))
                 parts.append(head.view(np.int64))
+                cold.append(int((level[head >> np.uint64(64 - TABLE_BITS)] <= common).sum()))
             offsets = np.cumsum([0, *map(len, parts)])
             values = np.concatenate(parts) if parts else np.empty(0, np.int64)
             yield pa.RecordBatch.from_pydict(
@@ -108,21 +113,64 @@ def _prefixes(docs: DataFrame, rarity, size: int, percent: int) -> DataFrame:
                     "n": pa.array(sizes, pa.int64()),
                     "key": pa.array(keys, pa.binary()),
                     "gid": pa.array(groups, pa.int64()),
+                    "cold": pa.array(cold, pa.int32()),
                     "prefix": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values)),
                 }
             )
 
     kind = dict(docs.dtypes)["id"]
     return docs.select("id", "_bytes").mapInArrow(
-        prefix, f"id {kind}, n bigint, key binary, gid bigint, prefix array<bigint>"
+        prefix, f"id {kind}, n bigint, key binary, gid bigint, cold int, prefix array<bigint>"
     )
 
 
-def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+def _common_level(rarity: np.ndarray) -> int:
+    """Levels above this are cells counted far above the mean."""
+    return int(4 * np.log2(32 * np.exp2(rarity / 4).mean() + 64))
+
+
+def _shared(postings: DataFrame) -> DataFrame:
+    """The postings (token, gid, n, at) without tokens that only one group has.
+
+    One shuffle by token and a pass over sorted rows that keeps a row if a
+    neighbour has its token. Very common tokens are let through as they are
+    (the prefix has them last, from ``cold`` on), so no task is given all rows
+    of one.
+    """
+
+    def drop_single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the last row so far, and whether it is known to be kept
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            token = batch.column(0).to_numpy()
+            same = token[1:] == token[:-1]
+            keep = np.zeros(len(token), bool)
+            keep[1:] |= same
+            keep[:-1] |= same
+            if held is not None and held[0].column(0)[0].as_py() == token[0]:
+                keep[0] = True
+                if not held[1]:
+                    yield held[0]
+            held = batch.slice(batch.num_rows - 1), bool(keep[-1])
+            yield batch.filter(pa.array(keep))
+
+    names = "token bigint, gid bigint, n bigint, at int"
+    columns = ("token", "gid", "n", "at")
+    parts = int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cold = postings.filter("at < cold").select(*columns).repartition(parts, "token")
+    cold = cold.sortWithinPartitions("token").mapInArrow(drop_single, names)
+    return cold.union(postings.filter("at >= cold").select(*columns))
+
+
+def _verified(
+    docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, percent: int, unique: bool
+) -> DataFrame:
     """The pairs (a, b) of class keys whose whole sets are similar enough.
 
     Sets are rebuilt from one document per class. The side ``b`` (pivots) is
-    joined first, on rows that carry no set yet.
+    joined first, on rows that carry no set yet. ``unique``: no id repeats, so
+    each class is rebuilt once anyway.
     """
     pairs = materialize(pairs.distinct(), "pairs")
     wanted = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b"))).distinct()
@@ -145,7 +193,7 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int,
             )
 
     sets = texts.select("key", "_bytes").mapInArrow(rebuild, "key binary, set binary")
-    sets = materialize(sets.dropDuplicates(["key"]), "sets")
+    sets = materialize(sets if unique else sets.dropDuplicates(["key"]), "sets")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,27 +233,38 @@ def near_join(
     classes = full.groupBy("key", "gid", "n").agg(F.min("id").alias("doc"))
     classes = materialize(classes, "classes")
 
-    groups = full.select("gid", "n", "prefix").distinct()
-    postings = groups.select("gid", "n", F.posexplode("prefix").alias("at", "token"))
-    met = postings.groupBy("token").agg(F.min("gid").alias("lo"), F.max("gid").alias("hi"))
-    met = met.filter("lo <> hi").select("token")
+    unique = rows.groupBy("id").count().filter("count > 1").isEmpty()
+
+    # Only groups of several rows are brought together to be made one.
+    several = full.groupBy("gid").count().filter("count > 1").select("gid")
+    marked = possibly(full.select("gid", "n", "cold", "prefix"), F.col("gid"), bitmap(several, "gid"))
+    columns = ("gid", "n", "cold", "prefix")
+    groups = marked.filter(~F.col("_possible")).select(*columns).union(
+        marked.filter("_possible").select(*columns).distinct()
+    )
+    postings = groups.select("gid", "n", "cold", F.posexplode("prefix").alias("at", "token"))
     # Two sizes of one band differ by less than a factor of 100 / percent.
     band = F.floor(F.log("n") / F.log(F.lit(100 / percent)) + 1e-9)
-    shared = materialize(postings.join(met, "token").withColumn("band", band), "shared")
+    shared = materialize(_shared(postings).withColumn("band", band), "shared")
 
     members = classes.select("gid", "key")
+    # The star only finds links early, so a pair may be left to the second pass.
     pivots = shared.groupBy("token", "band").agg(F.min("gid").alias("pivot"))
     star = (
         shared.join(pivots, ["token", "band"])
         .filter("gid <> pivot")
-        .select(F.col("gid").alias("ga"), F.col("pivot").alias("gb"))
-        .distinct()
+        .groupBy("gid", "n", "pivot")
+        .agg(F.count("*").alias("c"))
+        .filter(F.col("c") * 400 >= (100 - percent) * F.col("n"))
     )
+    best = Window.partitionBy("gid").orderBy(F.desc("c"), "pivot")
+    star = star.withColumn("nth", F.row_number().over(best)).filter("nth <= 2")
+    star = star.select(F.col("gid").alias("ga"), F.col("pivot").alias("gb"))
     heads = members.groupBy("gid").agg(F.min("key").alias("b"), F.max("key").alias("top"))
     inside = members.join(heads.filter("b <> top"), "gid").filter("key <> b")
     first = _verified(
         base, classes,
-        _members(star, members).union(inside.select(F.col("key").alias("a"), "b")), size, percent,
+        _members(star, members).union(inside.select(F.col("key").alias("a"), "b")), size, percent, unique,
     )
     touched = first.select(F.col("a").alias("node")).union(first.select("b")).distinct()
     known = materialize(components(touched, first), "known")
@@ -230,14 +289,19 @@ def near_join(
     b = still.select("token", in_main.alias("main_b"), *(F.col(c).alias(f"{c}_b") for c in ("gid", "n", "at", "low", "high")))
     one = (F.col("low_a") == F.col("high_a")) & (F.col("low_b") == F.col("high_b")) & (F.col("low_a") == F.col("low_b"))
     needed = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent) - 1e-9)
+    # Both prefixes are in one order, so what two groups share ahead of a shared token
+    # lies ahead of it in both: the first one shows what may follow, the last one what
+    # may follow those counted.
     reach = 1 + F.least(F.col("n_a") - F.col("at_a") - 1, F.col("n_b") - F.col("at_b") - 1)
     crossing = (
         a.join(b, "token")
         .filter((F.col("gid_a") != F.col("gid_b")) & (F.col("main_b") | (F.col("gid_a") < F.col("gid_b"))) & ~one)
         .filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
         .filter(reach >= needed)
+        .groupBy("gid_a", "gid_b", "n_a", "n_b")
+        .agg(F.count("*").alias("c"), F.max("at_a").alias("at_a"), F.max("at_b").alias("at_b"))
+        .filter(F.col("c") + reach - 1 >= needed)
         .select(F.col("gid_a").alias("ga"), F.col("gid_b").alias("gb"))
-        .distinct()
     )
     # Members of one group that the star has left apart meet each other.
     torn = members.join(spread.filter("low <> high"), "gid", "left_semi")
@@ -248,7 +312,7 @@ def near_join(
         .filter("a < b AND ra <> rb")
     )
     second = _verified(
-        base, classes, _members(crossing, members).union(apart.select("a", "b")), size, percent
+        base, classes, _members(crossing, members).union(apart.select("a", "b")), size, percent, unique
     )
     links = first.union(second)
     touched = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
