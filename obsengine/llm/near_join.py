@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from obsengine.llm.common import bitmap, components, possibly
+from obsengine.llm.common import bitmap, components, possibly, whole_row
 from obsengine.llm.shingles import shingle_set
 from obsengine.session import materialize
 
@@ -332,3 +332,24 @@ def _members(pairs: DataFrame, members: DataFrame) -> DataFrame:
     left = members.select(F.col("gid").alias("ga"), F.col("key").alias("a"))
     right = members.select(F.col("gid").alias("gb"), F.col("key").alias("b"))
     return pairs.join(left, "ga").join(right, "gb").select("a", "b")
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each component: the one with the smallest id.
+
+    Where ids repeat or are null, rows are numbered and stored first, and the
+    row with the smallest number stays. Rows without words all stay.
+    """
+    ids = docs.groupBy(F.col(id_col).alias("id")).count()
+    clear = ids.filter("count > 1 OR id IS NULL").isEmpty()
+    number = F.col(id_col) if clear else F.monotonically_increasing_id()
+    base = docs.select(number.alias("id"), F.col(text).alias("text"), whole_row(docs))
+    if not clear:
+        base = materialize(base, "numbered")
+    found = near_join(base, "id", "text", **options)
+    gone = materialize(found.filter("component_id <> id").select("id"), "gone")
+    marked = possibly(base.select("id", "row"), F.col("id"), bitmap(gone, "id"))
+    kept = marked.filter(~F.col("_possible")).select("row").union(
+        marked.filter("_possible").join(gone, "id", "left_anti").select("row")
+    )
+    return kept.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))

@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obsengine.llm.common import SPACES, let, words_of
+from obsengine.llm.common import SPACES, let, whole_row, words_of
 from obsengine.session import materialize
 
 SYMBOLS = "#*$%&|<>"
@@ -299,3 +299,15 @@ def quality_rules(docs: DataFrame, labels: DataFrame, carry: tuple[str, ...] = (
     known = known.groupBy("doc_id").agg(F.min("quality").alias("_label"))
     labelled = stats.select("doc_id", *STATISTICS).join(known, "doc_id")
     return apply_rules(stats, learn(labelled, "_label"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that :func:`quality_rules` keeps, with all their columns.
+
+    Texts are measured once: the statistics are stored together with the rows.
+    """
+    found = quality_rules(
+        docs.select(whole_row(docs), "doc_id", "text"), labels, carry=("row", "doc_id")
+    )
+    kept = found.filter("kept")
+    return kept.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
