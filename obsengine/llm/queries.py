@@ -93,6 +93,12 @@ def op6_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(docs, table(spark, sf_dir, "labels"))
 
 
+def op9_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from obsengine.llm.lm_scoring import lm_scores
+
+    return lm_scores(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op4_secret_scans": op4_secret_scans,
@@ -102,6 +108,7 @@ QUERIES = {
     "op10_token_files": op10_token_files,
     "op8_sentence_pieces": op8_sentence_pieces,
     "op6_rule_ensemble": op6_rule_ensemble,
+    "op9_recurrent_lm": op9_recurrent_lm,
 }
 
 SQL: dict[str, str] = {
