@@ -99,6 +99,12 @@ def op9_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op2_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from obsengine.llm.multi_index import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0)
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op4_secret_scans": op4_secret_scans,
@@ -109,6 +115,7 @@ QUERIES = {
     "op8_sentence_pieces": op8_sentence_pieces,
     "op6_rule_ensemble": op6_rule_ensemble,
     "op9_recurrent_lm": op9_recurrent_lm,
+    "op2_multi_index": op2_multi_index,
 }
 
 SQL: dict[str, str] = {
