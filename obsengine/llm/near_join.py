@@ -353,3 +353,21 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
         marked.filter("_possible").join(gone, "id", "left_anti").select("row")
     )
     return kept.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
+
+
+def near_join_sql(percent: int = 75) -> str:
+    """DuckDB SQL for ``op7``: all pairs that share a shingle, and labels spread along the links."""
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array({lower}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
+  FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM words),
+grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= {percent} * (a.n + b.n - count(*))),
+reach AS (SELECT doc_id, doc_id AS other FROM documents
+  UNION SELECT reach.doc_id, pairs.b FROM reach JOIN pairs ON reach.other = pairs.a)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, min(other) AS component_id
+FROM reach JOIN sets USING (doc_id) GROUP BY doc_id, s"""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsengine.llm.line_dedup import dedup_sql
+from obsengine.llm.near_join import near_join_sql
 from obsengine.llm.secrets import scan_sql
 
 
@@ -121,4 +122,5 @@ QUERIES = {
 SQL: dict[str, str] = {
     "op4_secret_scans": scan_sql(),
     "op5_line_dedup": dedup_sql(),
+    "op7_ngram_jaccard_join": near_join_sql(),
 }
