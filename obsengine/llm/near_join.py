@@ -15,8 +15,11 @@ least ``percent``. The join goes through four narrowing levels:
 Only connected classes are asked for, so pairs inside what is known to be one
 component need no check. First each group meets at most two pivots, those that
 share most of its prefix, which is linear however many documents are alike.
-Only then do groups of different components that share a shingle meet, and
-never two groups of the component that holds most of them.
+Then groups of different components that share a shingle meet in blocks of
+bounded size, never two of the component that holds most of them: once to link
+each to the one that seems most alike, and once more for all pairs that are
+still apart. A block hands on only pairs whose sizes, prefix positions and
+bitmaps allow the similarity, not the pairs it compares.
 """
 
 from __future__ import annotations
@@ -38,6 +41,10 @@ from obsengine.session import materialize
 TABLE_BITS = 22
 SLICES = 128
 
+#: Bits of a set's bitmap, and groups per side of a block.
+SET_BITS = 512
+BLOCK = 1024
+
 
 def _rarity(docs: DataFrame, size: int) -> np.ndarray:
     """One byte per cell: the logarithm of how many documents have a shingle hashed there.
@@ -87,7 +94,7 @@ def _prefixes(docs: DataFrame, rarity, size: int, percent: int) -> DataFrame:
         level = rarity.value
         common = _common_level(level)
         for batch in batches:
-            sizes, keys, groups, parts, cold = [], [], [], [], []
+            sizes, keys, groups, parts, cold, bits = [], [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 found = shingle_set(text, size)
                 n = len(found)
@@ -97,6 +104,7 @@ def _prefixes(docs: DataFrame, rarity, size: int, percent: int) -> DataFrame:
                     groups.append(None)
                     parts.append(found.view(np.int64))
                     cold.append(0)
+                    bits.append(None)
                     continue
                 order = np.lexsort((found, level[found >> np.uint64(64 - TABLE_BITS)]))
                 head = found[order[: n - (percent * n + 99) // 100 + 1]]
@@ -105,6 +113,9 @@ def _prefixes(docs: DataFrame, rarity, size: int, percent: int) -> DataFrame:
                 groups.append(name - (1 << 63))
                 parts.append(head.view(np.int64))
                 cold.append(int((level[head >> np.uint64(64 - TABLE_BITS)] <= common).sum()))
+                marks = np.zeros(SET_BITS, bool)
+                marks[found & np.uint64(SET_BITS - 1)] = True
+                bits.append(np.packbits(marks).tobytes())
             offsets = np.cumsum([0, *map(len, parts)])
             values = np.concatenate(parts) if parts else np.empty(0, np.int64)
             yield pa.RecordBatch.from_pydict(
@@ -114,13 +125,14 @@ def _prefixes(docs: DataFrame, rarity, size: int, percent: int) -> DataFrame:
                     "key": pa.array(keys, pa.binary()),
                     "gid": pa.array(groups, pa.int64()),
                     "cold": pa.array(cold, pa.int32()),
+                    "bits": pa.array(bits, pa.binary()),
                     "prefix": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values)),
                 }
             )
 
     kind = dict(docs.dtypes)["id"]
     return docs.select("id", "_bytes").mapInArrow(
-        prefix, f"id {kind}, n bigint, key binary, gid bigint, cold int, prefix array<bigint>"
+        prefix, f"id {kind}, n bigint, key binary, gid bigint, cold int, bits binary, prefix array<bigint>"
     )
 
 
@@ -216,6 +228,138 @@ def _verified(
     )
 
 
+def _known(links: DataFrame) -> DataFrame:
+    """(key, root) of the classes that some link touches."""
+    touched = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
+    return materialize(components(touched, links), "known").withColumnRenamed("node", "key")
+
+
+def _torn(members_at: DataFrame) -> DataFrame:
+    """Pairs of members of one group that are in different components."""
+    spread = members_at.groupBy("gid").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    torn = members_at.join(spread.filter("low <> high").select("gid"), "gid", "left_semi")
+    return (
+        torn.select("gid", F.col("key").alias("a"), F.col("root").alias("ra"))
+        .join(torn.select("gid", F.col("key").alias("b"), F.col("root").alias("rb")), "gid")
+        .filter("a < b AND ra <> rb")
+        .select("a", "b")
+    )
+
+
+def _meetings(shared: DataFrame, members_at: DataFrame, percent: int, nearest_only: bool) -> DataFrame:
+    """Group pairs (ga, gb) of different components that share a token and may be similar.
+
+    Per token, groups outside its main component meet all groups. Both sides
+    are cut into blocks of about :data:`BLOCK` groups by hash, and a task sees
+    one pair of blocks at a time. ``nearest_only``: each group outside gives
+    only the partner that its bitmap shows as most alike.
+    """
+    root = F.xxhash64("root")
+    spread = members_at.groupBy("gid").agg(
+        F.min(root).alias("low"), F.max(root).alias("high"), F.min("bits").alias("bits"), F.max("bits").alias("top")
+    )
+    # A bitmap stands for a group only if it is that of all its members.
+    spread = spread.withColumn("bits", F.when(F.col("bits") == F.col("top"), F.col("bits"))).drop("top")
+    spread = materialize(spread, "spread")
+    placed = materialize(shared.join(spread.drop("bits"), "gid"), "placed")
+    ends = placed.groupBy("token").agg(F.min("low").alias("x"), F.max("high").alias("y"))
+    still = placed.join(ends.filter("x <> y").select("token"), "token", "left_semi")
+    per_part = still.groupBy("token", "low").agg(
+        F.count("*").alias("c"), F.count_if(F.col("low") == F.col("high")).alias("whole")
+    )
+    layout = per_part.groupBy("token").agg(
+        F.max_by("low", F.struct("whole", "low")).alias("main"), F.max("whole").alias("inside"),
+        F.sum("c").alias("all"),
+    )
+    blocks = lambda c: F.greatest(F.ceil(c / BLOCK), F.lit(1)).cast("long")
+    layout = layout.select(
+        "token", "main", blocks(F.col("all")).alias("many"),
+        blocks(F.col("all") - F.col("inside")).alias("few"),
+    )
+    laid = still.join(layout, "token").join(spread.select("gid", "bits"), "gid")
+    in_main = (F.col("low") == F.col("main")) & (F.col("low") == F.col("high"))
+    place = lambda c: F.pmod(F.xxhash64("gid"), F.col(c))
+    every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    columns = ("gid", "n", "at", "low", "high", "bits")
+    outside = laid.filter(~in_main).select(
+        "token", place("few").alias("i"), every("many").alias("j"), F.lit(0).alias("side"), *columns
+    )
+    anyone = laid.select(
+        "token", every("few").alias("i"), place("many").alias("j"),
+        F.when(in_main, 2).otherwise(1).alias("side"), *columns,
+    )
+    parts = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = ("token", "i", "j")
+    dealt = outside.union(anyone).repartition(parts, *keys).sortWithinPartitions(*keys, "side")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            starts = _starts(held)
+            if len(starts) > 1:
+                yield _compared(held.slice(0, starts[-1]), starts[:-1], percent, nearest_only)
+                held = held.slice(starts[-1]).combine_chunks()
+        if held is not None and held.num_rows:
+            yield _compared(held, _starts(held), percent, nearest_only)
+
+    return dealt.mapInArrow(compare, "ga bigint, gb bigint").distinct()
+
+
+def _starts(table: pa.Table) -> np.ndarray:
+    """Rows at which another (token, i, j) begins."""
+    if not table.num_rows:
+        return np.empty(0, np.int64)
+    change = np.zeros(table.num_rows, bool)
+    change[0] = True
+    for name in ("token", "i", "j"):
+        values = table[name].to_numpy()
+        change[1:] |= values[1:] != values[:-1]
+    return np.flatnonzero(change)
+
+
+def _compared(table: pa.Table, starts: np.ndarray, percent: int, nearest_only: bool) -> pa.RecordBatch:
+    """The pairs of each block that size, positions and bitmaps allow."""
+    gid, n, at, low, high, side = (table[c].to_numpy() for c in ("gid", "n", "at", "low", "high", "side"))
+    packed = table["bits"].to_pylist()
+    marked = np.array([b is not None for b in packed], bool)
+    blank = bytes(SET_BITS // 8)
+    bits = np.frombuffer(b"".join(b or blank for b in packed), np.uint64).reshape(len(packed), -1)
+    found_a, found_b = [], []
+    for begin, end in zip(starts, [*starts[1:], table.num_rows], strict=True):
+        cut = begin + int(np.searchsorted(side[begin:end], 1))
+        b = slice(cut, end)
+        for step in range(begin, cut, 64):
+            a = slice(step, min(step + 64, cut))
+            na, nb = n[a][:, None], n[b][None]
+            ok = (gid[a][:, None] != gid[b]) & ((side[b] == 2) | (gid[a][:, None] < gid[b]))
+            ok &= (low[a][:, None] != low[b]) | (high[a][:, None] != high[b]) | (low[a] != high[a])[:, None]
+            ok &= 100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)
+            needed = -(-percent * (na + nb) // (100 + percent))
+            ok &= 1 + np.minimum(na - at[a][:, None] - 1, nb - at[b] - 1) >= needed
+            rows, columns = np.nonzero(ok)
+            if not len(rows):
+                continue
+            x, y = bits[a][rows], bits[b][columns]
+            bound = np.minimum(
+                n[a][rows] - np.bitwise_count(x & ~y).sum(1), n[b][columns] - np.bitwise_count(y & ~x).sum(1)
+            )
+            bound = np.where(marked[a][rows] & marked[b][columns], bound, np.minimum(n[a][rows], n[b][columns]))
+            keep = bound >= needed[rows, columns]
+            rows, columns, bound = rows[keep], columns[keep], bound[keep]
+            if nearest_only and len(rows):
+                order = np.lexsort((columns, -bound / (n[a][rows] + n[b][columns] - bound), rows))
+                order = order[np.flatnonzero(np.diff(rows[order], prepend=-1))]
+                rows, columns = rows[order], columns[order]
+            found_a.append(gid[a][rows])
+            found_b.append(gid[b][columns])
+    none = [np.empty(0, np.int64)]
+    return pa.RecordBatch.from_pydict(
+        {"ga": np.concatenate(found_a or none), "gb": np.concatenate(found_b or none)}
+    )
+
+
 def near_join(
     docs: DataFrame, id_col: str = "doc_id", text: str = "text", *, size: int = 5, percent: int = 75
 ) -> DataFrame:
@@ -230,7 +374,7 @@ def near_join(
     rarity = docs.sparkSession.sparkContext.broadcast(_rarity(base, size))
     rows = materialize(_prefixes(base, rarity, size, percent), "prefixes")
     full = rows.filter("n > 0")
-    classes = full.groupBy("key", "gid", "n").agg(F.min("id").alias("doc"))
+    classes = full.groupBy("key", "gid", "n", "bits").agg(F.min("id").alias("doc"))
     classes = materialize(classes, "classes")
 
     unique = rows.groupBy("id").count().filter("count > 1").isEmpty()
@@ -247,7 +391,7 @@ def near_join(
     band = F.floor(F.log("n") / F.log(F.lit(100 / percent)) + 1e-9)
     shared = materialize(_shared(postings).withColumn("band", band), "shared")
 
-    members = classes.select("gid", "key")
+    members = materialize(classes.select("gid", "key", "bits"), "members")
     # The star only finds links early, so a pair may be left to the second pass.
     pivots = shared.groupBy("token", "band").agg(F.min("gid").alias("pivot"))
     star = (
@@ -262,62 +406,19 @@ def near_join(
     star = star.select(F.col("gid").alias("ga"), F.col("pivot").alias("gb"))
     heads = members.groupBy("gid").agg(F.min("key").alias("b"), F.max("key").alias("top"))
     inside = members.join(heads.filter("b <> top"), "gid").filter("key <> b")
-    first = _verified(
-        base, classes,
-        _members(star, members).union(inside.select(F.col("key").alias("a"), "b")), size, percent, unique,
-    )
-    touched = first.select(F.col("a").alias("node")).union(first.select("b")).distinct()
-    known = materialize(components(touched, first), "known")
-
-    # A group's components: one if all its members are known to be connected.
-    root = F.coalesce(F.col("root"), F.col("key"))
-    spread = (
-        members.join(known.withColumnRenamed("node", "key"), "key", "left")
-        .groupBy("gid")
-        .agg(F.min(root).alias("low"), F.max(root).alias("high"))
-    )
-    placed = materialize(shared.join(spread, "gid"), "placed")
-    open_tokens = placed.groupBy("token").agg(F.min("low").alias("x"), F.max("high").alias("y"))
-    still = placed.join(open_tokens.filter("x <> y").select("token"), "token", "left_semi")
-    main = (
-        still.groupBy("token", "low").agg(F.count("*").alias("c"))
-        .groupBy("token").agg(F.max_by("low", F.struct("c", "low")).alias("main"))
-    )
-    still = materialize(still.join(main, "token"), "open")
-    in_main = (F.col("low") == F.col("main")) & (F.col("low") == F.col("high"))
-    a = still.filter(~in_main).select("token", *(F.col(c).alias(f"{c}_a") for c in ("gid", "n", "at", "low", "high")))
-    b = still.select("token", in_main.alias("main_b"), *(F.col(c).alias(f"{c}_b") for c in ("gid", "n", "at", "low", "high")))
-    one = (F.col("low_a") == F.col("high_a")) & (F.col("low_b") == F.col("high_b")) & (F.col("low_a") == F.col("low_b"))
-    needed = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent) - 1e-9)
-    # Both prefixes are in one order, so what two groups share ahead of a shared token
-    # lies ahead of it in both: the first one shows what may follow, the last one what
-    # may follow those counted.
-    reach = 1 + F.least(F.col("n_a") - F.col("at_a") - 1, F.col("n_b") - F.col("at_b") - 1)
-    crossing = (
-        a.join(b, "token")
-        .filter((F.col("gid_a") != F.col("gid_b")) & (F.col("main_b") | (F.col("gid_a") < F.col("gid_b"))) & ~one)
-        .filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-        .filter(reach >= needed)
-        .groupBy("gid_a", "gid_b", "n_a", "n_b")
-        .agg(F.count("*").alias("c"), F.max("at_a").alias("at_a"), F.max("at_b").alias("at_b"))
-        .filter(F.col("c") + reach - 1 >= needed)
-        .select(F.col("gid_a").alias("ga"), F.col("gid_b").alias("gb"))
-    )
-    # Members of one group that the star has left apart meet each other.
-    torn = members.join(spread.filter("low <> high"), "gid", "left_semi")
-    torn = torn.join(known.withColumnRenamed("node", "key"), "key", "left").select("gid", "key", root.alias("root"))
-    apart = (
-        torn.select("gid", F.col("key").alias("a"), F.col("root").alias("ra"))
-        .join(torn.select("gid", F.col("key").alias("b"), F.col("root").alias("rb")), "gid")
-        .filter("a < b AND ra <> rb")
-    )
-    second = _verified(
-        base, classes, _members(crossing, members).union(apart.select("a", "b")), size, percent, unique
-    )
-    links = first.union(second)
-    touched = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
-    final = materialize(components(touched, links), "components").withColumnRenamed("node", "key")
-    linked = classes.join(final, "key")
+    pairs = _members(star, members).union(inside.select(F.col("key").alias("a"), "b"))
+    links = _verified(base, classes, pairs, size, percent, unique)
+    known = _known(links)
+    for nearest_only in (True, False):
+        members_at = members.join(known, "key", "left").select(
+            "gid", "key", "bits", F.coalesce("root", "key").alias("root")
+        )
+        pairs = _members(_meetings(shared, members_at, percent, nearest_only), members)
+        if not nearest_only:
+            pairs = pairs.union(_torn(members_at))
+        links = links.union(_verified(base, classes, pairs, size, percent, unique))
+        known = _known(links)
+    linked = classes.join(known, "key")
     smallest = linked.groupBy("root").agg(F.min("doc").alias("least"))
     named = linked.join(smallest, "root").select("key", "least")
     named = classes.join(named, "key", "left").select("key", F.coalesce("least", "doc").alias("least"))
