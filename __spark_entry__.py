@@ -21,7 +21,7 @@ from obsengine import fixtures, schemas
 from obsengine.functions import columns as fn
 from obsengine.operators import aggregates, joins, marts, metrics, models, rankings, splits
 from obsengine.plans import reports
-from obsengine.plans.descriptive import descriptive_run
+from obsengine.plans.descriptive import descriptive_run, descriptive_tables
 from obsengine.plans.enrich import CITY_BAND, STATION_BAND, enrich
 from obsengine.plans.lookup import lookup
 from obsengine.plans.ml import ml_run
@@ -98,9 +98,8 @@ def _longs(df: DataFrame) -> DataFrame:
 
 
 def _scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readers.read_non_empty(spark, f"{sf_dir}/lineitem.parquet").select(
-        "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax"
-    )
+    rows = readers.read_non_empty(spark, f"{sf_dir}/lineitem.parquet")
+    return rows.withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
 
 
 def _as_raw(df: DataFrame, extracted: str) -> DataFrame:
@@ -181,9 +180,78 @@ def _historical(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _undated_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two overlapping batches, the dates of dry days unreadable in the first."""
+    raw = _as_raw(_obs_daily(spark, sf_dir), "2024-01-01T06:00:00")
+    dry = F.col("precipitation") == 0
+    first = raw.withColumn("date", F.when(dry, "no date").otherwise(F.col("date")))
+    second = _as_raw(_obs_daily(spark, sf_dir).filter(~dry), "2024-01-02T06:00:00")
+    root = scratch_path(spark, "raw")
+    for stamp, batch in (("1", first), ("2", second)):
+        writers.land_batch(batch, root, stamp)
+    read = readers.read_observations(spark, f"{root}/*", multi_line=False)
+    return readers.latest_observations(read).drop("extraction_timestamp")
+
+
+def _odd_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with line breaks, quotes, backslashes, empty and null ones."""
+    text, key = F.col("text"), F.col("doc_id")
+    odd = (
+        F.when(key % 7 == 0, F.lit(None)).when(key % 5 == 0, "")
+        .when(key % 3 == 0, F.concat(F.lit("\\N"), text))
+        .when(key % 2 == 0, F.concat(F.lit(' "a",'), text, F.lit(" ")))
+        .otherwise(text)
+    )
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return docs.select("doc_id", odd.alias("text"), "lang", "n_chars")
+
+
+def _snapshot_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of one of two snapshots, read back."""
+    root, odd = scratch_path(spark, "exports"), _odd_texts(spark, sf_dir)
+    for stamp in ("20240101", "20240102"):
+        writers.snapshot_tables(spark, {"docs": odd}, root, stamp)
+    exports = f"{root}/database_exports"
+    return writers.read_snapshot(spark, exports, "docs", "20240102", odd.schema)
+
+
+def _sink(write: Callable[[DataFrame, str], None], read: Callable[[DataFrame, str], DataFrame]) -> Query:
+    """Daily observations through a sink and back."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows, path = _obs_daily(spark, sf_dir), scratch_path(spark, "sink")
+        write(rows, path)
+        return read(rows, path)
+
+    return run
+
+
+def _as_result(fmt: str) -> Query:
+    folder = {"parquet": "descriptive_analytics", "csv": "descriptive_analytics_csv"}[fmt]
+    return _sink(
+        lambda df, path: writers.save_results({"days": df}, path, {"days": ("city", "date")}),
+        lambda df, path: df.sparkSession.read.schema(df.schema)
+        .option("header", True)
+        .format(fmt)
+        .load(f"{path}/{folder}/days"),
+    )
+
+
 # Published results
 
 
+def _republished(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table published twice at one location and then at another; its last rows."""
+    root, database = scratch_path(spark, "published"), f"results_{uuid.uuid4().hex}"
+    catalog.ensure_database(spark, database, f"{root}/database")
+    name = "city_temperature_stats"
+    rows = marts.city_temperature_stats(_obs_daily(spark, sf_dir))
+    part = rows.filter(F.col("month") <= 6)
+    for stage, where in ((part, "a"), (rows.limit(0), "a"), (rows, "b")):
+        catalog.publish(spark, stage, database, name, f"{root}/{where}").count()
+    return _rounded(spark.table(f"{database}.{name}"))
+
+
 def _published(spark: SparkSession, sf_dir: str, *tables: str) -> str:
     """Register result tables of the daily observations in a fresh database."""
     build = {
@@ -270,6 +338,59 @@ def _weather_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.weather_clusters(_model_rows(spark, sf_dir), SEED).rows
 
 
+def _fixed_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _obs_daily(spark, sf_dir).select(
+        F.col("city").alias("city_name"), "date", "temp_max",
+        (F.col("temp_min") * 0.5 + 35).alias("prediction"),
+    )
+
+
+def _prediction_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.ml_predictions(_fixed_predictions(spark, sf_dir), "fixed-1")
+
+
+def _flagged(df: DataFrame) -> DataFrame:
+    stamp = F.col("prediction_timestamp").isNotNull()
+    return _rounded(df.withColumn("prediction_timestamp", stamp))
+
+
+def _lookup_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root, database = scratch_path(spark, "published"), f"results_{uuid.uuid4().hex}"
+    catalog.ensure_database(spark, database, f"{root}/database")
+    catalog.publish(spark, _prediction_table(spark, sf_dir), database, "ml_predictions", f"{root}/p")
+    found = lookup(spark, database, "ml-predictions", LOOKUP_CITY, LOOKUP_START, LOOKUP_END)
+    return _flagged(found)
+
+
+def _fixed_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.ml_summary(
+        {"a": _regression_metrics(spark, sf_dir), "b": _classification_metrics(spark, sf_dir)}
+    )
+
+
+def _scaled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ("temp_max", "temp_min", "precipitation")
+    scaled = models.scale_features(_obs_daily(spark, sf_dir), names)
+    return _rounded(
+        scaled.select(
+            "city", "date",
+            *(F.col("scaled_features")[i].alias(f"scaled_{name}") for i, name in enumerate(names)),
+        )
+    )
+
+
+def _temperature_test_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small = models.temperature_model(_model_rows(spark, sf_dir), SEED, trees=2, depth=3)
+    return small.rows.select("city_name", "date", "temp_max")
+
+
+def _precipitation_test_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small = models.precipitation_model(_model_rows(spark, sf_dir), SEED, trees=2, depth=3)
+    return small.rows.groupBy(F.col("precip_class").cast("long").alias("label")).agg(
+        F.count("*").alias("n")
+    )
+
+
 # Registry
 
 
@@ -306,6 +427,16 @@ def queries() -> dict[str, Query]:
         "payload_unpivot": _payload_unpivot,
         "trusted_roundtrip": _trusted_roundtrip,
         "snapshot_tables": _snapshot_tables,
+        "snapshot_rows": _snapshot_rows,
+        "undated_observations": _undated_observations,
+        "sink_parquet": _sink(
+            writers.write_parquet, lambda df, path: df.sparkSession.read.parquet(path)
+        ),
+        "sink_json": _sink(
+            writers.write_json, lambda df, path: df.sparkSession.read.schema(df.schema).json(path)
+        ),
+        "result_parquet": _as_result("parquet"),
+        "result_csv": _as_result("csv"),
         "events_since": over(_historical, lambda df: jdbc.events_since(df, date(2024, 1, 10))),
         # Columns and filters
         "conform_observations": _facts,
@@ -378,12 +509,25 @@ def queries() -> dict[str, Query]:
         "temperature_distribution": over(_obs_point, aggregates.temperature_distribution),
         "humidity_analysis": over(_obs_point, aggregates.humidity_analysis, _rounded),
         "city_rankings": over(_obs_point, rankings.city_rankings, _rounded),
+        "pressure_quartiles": over(
+            _obs_point,
+            lambda df: aggregates.humidity_analysis(df, humidity="pressure"),
+            _rounded,
+        ),
+        "trusted_city_rankings": over(
+            _enriched,
+            lambda df: descriptive_tables(df, city="city_name", temperature="temp_avg")[
+                "city_rankings"
+            ],
+            _rounded,
+        ),
         "cluster_statistics": over(_labelled, aggregates.cluster_statistics, _rounded),
         # Result tables, reports and lookups
         "city_temperature_stats": over(_obs_daily, marts.city_temperature_stats, _rounded),
         "monthly_patterns": over(_obs_daily, marts.monthly_patterns, _rounded),
         "extreme_events": over(_obs_daily, marts.extreme_events, _rounded),
         "weather_summary": _summary_view,
+        "republished_stats": _republished,
         "quality_report": over(_enriched, reports.quality_report, _rounded),
         "execution_summary": over(
             _obs_point,
@@ -394,11 +538,22 @@ def queries() -> dict[str, Query]:
         "lookup_extreme_events": _lookup("extreme-events", "extreme_events"),
         "lookup_precipitation": _lookup("precipitation", "city_temperature_stats"),
         "lookup_summary": _lookup("summary", "city_temperature_stats"),
+        "lookup_ml_predictions": _lookup_predictions,
         # Models
         "prepare_ml": _model_rows,
         "hash_split": _hash_split,
         "regression_metrics": _regression_metrics,
         "classification_metrics": _classification_metrics,
+        "scaled_features": _scaled_features,
+        "temperature_test_rows": _temperature_test_rows,
+        "precipitation_test_rows": _precipitation_test_rows,
+        "prediction_error": over(
+            _fixed_predictions,
+            lambda df: fn.with_error(df, "temp_max").drop("prediction"),
+            _rounded,
+        ),
+        "fixed_ml_predictions": over(_prediction_table, _flagged),
+        "fixed_ml_summary": _fixed_summary,
         "temperature_predictions": _temperature_predictions,
         "precipitation_classes": _precipitation_classes,
         "weather_clusters": _weather_clusters,
@@ -487,13 +642,83 @@ _IN_MONTHS = (
     f"make_date(year, month, 1) BETWEEN DATE '{LOOKUP_START.replace(day=1)}' "
     f"AND DATE '{LOOKUP_END.replace(day=1)}'"
 )
-_IN_PERIOD = f"event_date BETWEEN DATE '{LOOKUP_START}' AND DATE '{LOOKUP_END}'"
+_IN_PERIOD = (
+    f"event_date <= DATE '{LOOKUP_END}' AND event_date + duration_days - 1 >= DATE '{LOOKUP_START}'"
+)
+_PREDICTED = """predicted AS (
+  SELECT city, date AS prediction_date, round(temp_min * 0.5 + 35, 6) AS predicted_temp_max,
+         CAST(NULL AS DOUBLE) AS predicted_temp_min, CAST(NULL AS DOUBLE) AS predicted_precipitation,
+         CAST(NULL AS DOUBLE) AS confidence_score, 'fixed-1' AS model_version,
+         TRUE AS prediction_timestamp FROM obs_daily)"""
+_MODEL_ROWS = f"""WITH {_ENRICHED}, model_rows AS (
+  SELECT *, CAST('0x' || substr(md5('42|' || city_name || '|' || date), 1, 15) AS BIGINT) % 10000
+              >= 8000 AS held_out
+  FROM enriched
+  WHERE temp_max IS NOT NULL AND temp_min IS NOT NULL AND precipitation IS NOT NULL
+    AND city_name IS NOT NULL)"""
 _CATEGORY = """CASE WHEN temperature < 15 THEN 'Frío' WHEN temperature < 25 THEN 'Templado'
             WHEN temperature < 30 THEN 'Cálido' ELSE 'Muy Cálido' END"""
 
+_REGRESSION = """WITH guessed AS (
+  SELECT temp_max AS y, temp_max - (temp_min * 0.5 + 35) AS e FROM obs_daily)
+SELECT round(sqrt(avg(e * e)), 6) AS rmse, round(avg(abs(e)), 6) AS mae,
+       round(1 - sum(e * e) / (var_pop(y) * count(*)), 6) AS r2, count(*) AS predictions_count
+FROM guessed"""
+_CLASSIFICATION = """WITH guessed AS (
+  SELECT CASE WHEN precipitation > 5 THEN 1 ELSE 0 END AS y,
+         CASE WHEN temp_max > 20 THEN 1 ELSE 0 END AS p FROM obs_daily),
+classes AS (SELECT DISTINCT y AS c FROM guessed),
+scored AS (
+  SELECT c, count(*) FILTER (WHERE y = c) AS n, count(*) FILTER (WHERE p = c) AS guesses,
+         count(*) FILTER (WHERE y = c AND p = c) AS hits
+  FROM guessed, classes GROUP BY c)
+SELECT round(sum(hits) / sum(n), 6) AS accuracy,
+       round(sum(n * CASE WHEN guesses = 0 THEN 0 ELSE hits / guesses END) / sum(n), 6)
+         AS "precision",
+       round(sum(hits) / sum(n), 6) AS recall, CAST(sum(n) AS BIGINT) AS predictions_count
+FROM scored"""
+
 _SQL = {
-    "scan_parquet": "SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax FROM lineitem",
+    "scan_parquet": "SELECT * REPLACE (CAST(l_shipdate AS DATE) AS l_shipdate) FROM lineitem",
     "raw_batch_roundtrip": "SELECT * FROM obs_daily",
+    "sink_parquet": "SELECT * FROM obs_daily",
+    "sink_json": "SELECT * FROM obs_daily",
+    "result_parquet": "SELECT * FROM obs_daily",
+    "result_csv": "SELECT * FROM obs_daily",
+    "undated_observations": """SELECT city, latitude, longitude,
+       CASE WHEN precipitation = 0 THEN NULL ELSE date END AS date,
+       temp_max, temp_min, precipitation, windspeed_max FROM obs_daily""",
+    "snapshot_rows": """SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN NULL WHEN doc_id % 5 = 0 THEN ''
+       WHEN doc_id % 3 = 0 THEN '\\N' || text WHEN doc_id % 2 = 0 THEN ' "a",' || text || ' '
+       ELSE text END AS text, lang, n_chars FROM documents""",
+    "pressure_quartiles": """SELECT city, round(avg(pressure), 6) AS avg_humidity,
+       round(quantile_disc(pressure, 0.25), 6) AS humidity_q1,
+       round(quantile_disc(pressure, 0.5), 6) AS humidity_median,
+       round(quantile_disc(pressure, 0.75), 6) AS humidity_q3
+FROM obs_point GROUP BY city""",
+    "trusted_city_rankings": f"""WITH {_ENRICHED}, means AS (
+  SELECT city_name AS city, avg(temp_avg) AS t FROM enriched GROUP BY city_name),
+ranked AS (
+  SELECT city, round(t, 6) + 0 AS avg_temperature,
+         row_number() OVER (ORDER BY t DESC, city NULLS FIRST) AS temp_rank,
+         CAST(NULL AS DOUBLE) AS avg_humidity, CAST(NULL AS BIGINT) AS humidity_rank FROM means)
+SELECT * FROM ranked WHERE city IS NOT NULL""",
+    "republished_stats": f"WITH {_STATS} SELECT * FROM stats",
+    "lookup_ml_predictions": f"""WITH {_PREDICTED} SELECT * FROM predicted WHERE {_AT_CITY}
+  AND prediction_date BETWEEN DATE '{LOOKUP_START}' AND DATE '{LOOKUP_END}'""",
+    "fixed_ml_predictions": f"WITH {_PREDICTED} SELECT * FROM predicted",
+    "scaled_features": """SELECT city, date,
+       round(temp_max / stddev_samp(temp_max) OVER (), 6) + 0 AS scaled_temp_max,
+       round(temp_min / stddev_samp(temp_min) OVER (), 6) + 0 AS scaled_temp_min,
+       round(precipitation / stddev_samp(precipitation) OVER (), 6) + 0 AS scaled_precipitation
+FROM obs_daily""",
+    "temperature_test_rows": f"""{_MODEL_ROWS}
+SELECT city_name, date, temp_max FROM model_rows WHERE held_out""",
+    "precipitation_test_rows": f"""{_MODEL_ROWS}
+SELECT CAST(CASE WHEN precipitation > 5 THEN 1 ELSE 0 END AS BIGINT) AS label, count(*) AS n
+FROM model_rows WHERE held_out GROUP BY 1""",
+    "prediction_error": """SELECT city AS city_name, date, round(temp_max, 6) AS temp_max,
+       round(abs(temp_max - (temp_min * 0.5 + 35)), 6) AS error FROM obs_daily""",
     "latest_observations": """SELECT city, latitude, longitude, date,
        CASE WHEN month(date) <= 6 THEN temp_max + 1 ELSE temp_max END AS temp_max,
        temp_min, precipitation, windspeed_max FROM obs_daily""",
@@ -630,24 +855,15 @@ WHERE temp_max IS NOT NULL AND temp_min IS NOT NULL AND precipitation IS NOT NUL
        CASE WHEN CAST('0x' || substr(md5('42|' || city || '|' || date), 1, 15) AS BIGINT) % 10000
                  < 8000 THEN 'train' ELSE 'test' END AS part
 FROM obs_daily""",
-    "regression_metrics": """WITH guessed AS (
-  SELECT temp_max AS y, temp_max - (temp_min * 0.5 + 35) AS e FROM obs_daily)
-SELECT round(sqrt(avg(e * e)), 6) AS rmse, round(avg(abs(e)), 6) AS mae,
-       round(1 - sum(e * e) / (var_pop(y) * count(*)), 6) AS r2, count(*) AS predictions_count
-FROM guessed""",
-    "classification_metrics": """WITH guessed AS (
-  SELECT CASE WHEN precipitation > 5 THEN 1 ELSE 0 END AS y,
-         CASE WHEN temp_max > 20 THEN 1 ELSE 0 END AS p FROM obs_daily),
-classes AS (SELECT DISTINCT y AS c FROM guessed),
-scored AS (
-  SELECT c, count(*) FILTER (WHERE y = c) AS n, count(*) FILTER (WHERE p = c) AS guesses,
-         count(*) FILTER (WHERE y = c AND p = c) AS hits
-  FROM guessed, classes GROUP BY c)
-SELECT round(sum(hits) / sum(n), 6) AS accuracy,
-       round(sum(n * CASE WHEN guesses = 0 THEN 0 ELSE hits / guesses END) / sum(n), 6)
-         AS "precision",
-       round(sum(hits) / sum(n), 6) AS recall, CAST(sum(n) AS BIGINT) AS predictions_count
-FROM scored""",
+    "regression_metrics": _REGRESSION,
+    "classification_metrics": _CLASSIFICATION,
+    "fixed_ml_summary": f"""SELECT 'a' AS model_type, rmse, mae, r2, CAST(NULL AS DOUBLE) AS accuracy,
+       CAST(NULL AS DOUBLE) AS "precision", CAST(NULL AS DOUBLE) AS recall,
+       CAST(predictions_count AS BIGINT) AS predictions_count, CAST(NULL AS BIGINT) AS clusters_count,
+       CAST(NULL AS BIGINT) AS total_records FROM ({_REGRESSION}) x
+UNION ALL
+SELECT 'b', NULL, NULL, NULL, accuracy, "precision", recall, predictions_count, NULL, NULL
+FROM ({_CLASSIFICATION}) y""",
 }
 
 

@@ -5,12 +5,11 @@ import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from obsengine import schemas
 from obsengine.plans import descriptive, etl, ml, publish
 from obsengine.session import build_session
-from obsengine.sources import jdbc, readers
+from obsengine.sources import jdbc, readers, writers
 
 # Input of the enrichment -> its schema and its usual table name.
 DIMENSIONS = {
@@ -22,11 +21,11 @@ DIMENSIONS = {
 
 def _dimension(spark: SparkSession, name: str, args: argparse.Namespace) -> DataFrame:
     schema, table = DIMENSIONS[name]
+    if args.exports and not args.stamp:
+        raise SystemExit("--exports needs the --stamp of one snapshot")
     if args.jdbc_url:
         return jdbc.read_jdbc(spark, args.jdbc_url, table, jdbc.connection_properties())
-    path = f"{args.exports.rstrip('/')}/{table}_*"
-    exported = spark.read.option("header", True).csv(path)
-    return exported.select(*(F.col(f.name).cast(f.dataType) for f in schema.fields))
+    return writers.read_snapshot(spark, args.exports, table, args.stamp, schema)
 
 
 def run_etl(spark: SparkSession, args: argparse.Namespace) -> dict:
@@ -39,6 +38,19 @@ def run_etl(spark: SparkSession, args: argparse.Namespace) -> dict:
     return etl.run_etl(observations, *dimensions, args.output)
 
 
+def run_ingest(spark: SparkSession, args: argparse.Namespace) -> dict:
+    payloads = readers.read_payloads(spark, args.payloads, multi_line=not args.lines)
+    rows = readers.unpivot_daily_payload(payloads)
+    path = writers.land_batch(rows, args.output, args.stamp)
+    return {"status": "success", "batch": path}
+
+
+def run_snapshot(spark: SparkSession, args: argparse.Namespace) -> dict:
+    tables = {name: spark.table(name) for name in args.tables}
+    done = writers.snapshot_tables(spark, tables, args.output, args.stamp).collect()
+    return {"status": "success", "tables": {row.table: row.records_count for row in done}}
+
+
 def run_descriptive(spark: SparkSession, args: argparse.Namespace) -> dict:
     df = readers.read_non_empty(spark, args.input)
     tables = descriptive.descriptive_run(
@@ -70,13 +82,23 @@ def parser() -> argparse.ArgumentParser:
         command.add_argument("--output", required=True, help="folder to write")
         return command
 
+    command = stage("ingest", run_ingest, "landed payloads to a raw batch")
+    command.add_argument("--payloads", required=True, help="JSON payload files")
+    command.add_argument("--lines", action="store_true", help="one JSON object per line")
+    command.add_argument("--stamp", required=True, help="name of the batch")
+
+    command = stage("snapshot", run_snapshot, "catalog tables to CSV snapshots")
+    command.add_argument("--tables", required=True, nargs="+")
+    command.add_argument("--stamp", required=True, help="name of the snapshot")
+
     command = stage("etl", run_etl, "raw inputs to trusted rows")
     command.add_argument("--observations", required=True, help="raw JSON files")
     command.add_argument("--lines", action="store_true", help="one JSON object per line")
     command.add_argument("--latest", action="store_true", help="keep the latest of repeated days")
     source = command.add_mutually_exclusive_group(required=True)
     source.add_argument("--jdbc-url", help="database; credentials from OBSENGINE_DB_* variables")
-    source.add_argument("--exports", help="folder of CSV snapshots")
+    source.add_argument("--exports", help="folder of CSV snapshots; needs --stamp")
+    command.add_argument("--stamp", help="the snapshot to read, as in cities_<stamp>")
 
     command = stage("descriptive", run_descriptive, "descriptive tables and report")
     command.add_argument("--input", required=True)

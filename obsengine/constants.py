@@ -36,4 +36,4 @@ PRECIPITATION_FEATURES = ("temp_max", "temp_min", "temp_range", "day_of_year", "
 CLUSTER_FEATURES = ("temp_avg", "temp_range", "precipitation")
 
 # Accuracy of approximate quartiles (rank error is 1 / accuracy).
-QUARTILE_ACCURACY = 10_000
+QUARTILE_ACCURACY = 1_000_000

@@ -162,8 +162,18 @@ def available(df: DataFrame, names: Iterable[str]) -> list[str]:
 
 
 def fill_zero(df: DataFrame, names: Iterable[str]) -> DataFrame:
-    """Replace nulls with zero in those of ``names`` that exist."""
-    return df.fillna(0, subset=available(df, names))
+    """Replace nulls with zero in those of ``names`` that exist; NaN is a value and stays."""
+    return df.withColumns(
+        {
+            name: F.coalesce(F.col(name), F.lit(0).cast(df.schema[name].dataType))
+            for name in available(df, names)
+        }
+    )
+
+
+def with_error(df: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
+    """Add ``error``: how far the prediction is from the label."""
+    return df.withColumn("error", F.abs(F.col(label) - F.col(prediction)))
 
 
 def complete_rows(

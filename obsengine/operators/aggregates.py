@@ -218,9 +218,10 @@ def place_averages(
 
 def averages_from_profile(profile: DataFrame) -> DataFrame:
     """:func:`place_averages` from :func:`monthly_profile`."""
+    humidity = _profiled_means(profile).get("avg_humidity", F.lit(None).cast("double"))
     return profile.groupBy("city").agg(
         _mean("temperature_sum", "temperatures").alias("avg_temperature"),
-        _mean("humidity_sum", "humidity_count").alias("avg_humidity"),
+        humidity.alias("avg_humidity"),
     )
 
 

@@ -14,6 +14,8 @@ from obsengine.session import materialize
 BROADCAST_LIMIT = 64 * 1024 * 1024
 # Parts that a shuffled key is split into, so no task holds a whole hot key.
 SALTS = 16
+# Bytes of one key that a task should get at most.
+PART_BYTES = 256 * 1024 * 1024
 
 _VARIABLE = (T.StringType, T.BinaryType)
 _NESTED = (T.ArrayType, T.MapType, T.StructType)
@@ -45,9 +47,23 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT, copies: int = 1)
     return measured_bytes(df) * copies <= limit
 
 
+def _hashable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_hashable(field.dataType) for field in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _hashable(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def _salt(df: DataFrame, salts: int) -> Column:
     # A function of the row alone: a retried task sends each row to the same place.
-    return F.pmod(F.xxhash64(*(F.col(f"`{name}`") for name in df.columns)), F.lit(salts))
+    names = [field.name for field in df.schema.fields if _hashable(field.dataType)]
+    return F.pmod(F.xxhash64(F.lit(0), *(F.col(f"`{name}`") for name in names)), F.lit(salts))
+
+
+def salts_for(size: int, least: int = SALTS) -> int:
+    """Parts for keys of a side of ``size`` bytes: a key that is all of it still fits in tasks."""
+    return max(least, -(-size // PART_BYTES))
 
 
 def _every_salt(salts: int) -> Column:
@@ -79,6 +95,7 @@ def keyed_join(
     condition = [F.col(a) == F.col(b) for a, b in keys]
     if fits_broadcast(right, broadcast_limit):
         return left.join(F.broadcast(right), condition, how)
+    salts = salts_for(measured_bytes(left), salts)
     salted = left.withColumn("_left_salt", _salt(left, salts))
     repeated = right.withColumn("_right_salt", _every_salt(salts))
     condition.append(F.col("_left_salt") == F.col("_right_salt"))
@@ -100,21 +117,40 @@ def within_band(pairs: Sequence[tuple[str, str]], tolerance: float) -> Column:
     return reduce(Column.__and__, (F.abs(F.col(a) - F.col(b)) < tolerance for a, b in pairs))
 
 
-def _cell(name: str, width: float) -> Column:
-    # NaN and infinite coordinates are within no band; a null cell matches nothing.
-    # Below this bound the quotient is exact enough for one neighbour to suffice.
-    in_range = F.abs(F.col(name)) < width * 2.0**50
-    return F.when(in_range, F.floor(F.col(name) / F.lit(width)))
+def _axis(name: str, width: float) -> tuple[Column, Column, Column]:
+    """Kind and cell of a coordinate, and whether its quotient may be off by one.
+
+    From ``width * 2**53`` on, neighbouring doubles lie further apart than the
+    tolerance, so only equal values match and the value is its own cell. NaN
+    and infinite coordinates are within no band: their cell is null.
+    """
+    value = F.col(name)
+    size = F.abs(value)
+    finite = size < F.lit(float("inf"))
+    far = size >= F.lit(width * 2.0**53)
+    kind = F.when(finite, far.cast("int"))
+    cell = F.when(finite & far, value).when(finite, F.floor(value / F.lit(width)).cast("double"))
+    return kind, cell, size >= F.lit(width * 2.0**50)
 
 
 def _with_cells(df: DataFrame, names: Sequence[str], width: float) -> DataFrame:
-    return df.withColumns({f"_cell_{i}": _cell(name, width) for i, name in enumerate(names)})
+    columns = {}
+    for i, name in enumerate(names):
+        columns[f"_kind_{i}"], columns[f"_cell_{i}"], _ = _axis(name, width)
+    return df.withColumns(columns)
 
 
 def _with_neighbours(df: DataFrame, names: Sequence[str], width: float) -> DataFrame:
+    """``df`` without rows that can't match, repeated for the cells next to each row's own."""
     for i, name in enumerate(names):
-        cell = _cell(name, width)
-        df = df.withColumn(f"_near_{i}", F.explode(F.array(cell - 1, cell, cell + 1)))
+        kind, cell, rough = _axis(name, width)
+        near = F.when(kind == 1, F.array(cell)).when(
+            rough, F.array(*(cell + k for k in range(-2, 3)))
+        )
+        near = near.otherwise(F.array(*(cell + k for k in range(-1, 2))))
+        df = df.filter(kind.isNotNull()).withColumns(
+            {f"_near_kind_{i}": kind, f"_near_{i}": F.explode(near)}
+        )
     return df
 
 
@@ -133,7 +169,8 @@ def band_join(
     Both sides are laid on a grid of cells twice the tolerance wide, so a match
     is always in the same or a neighbouring cell: ``right`` is repeated for its
     neighbours and the join is an equi-join on the cell, with the exact
-    predicate as its residual. A pair meets in one cell only.
+    predicate as its residual. A pair meets in one cell only. Coordinates too
+    large for cells, next to the tolerance, match where they are equal.
 
     * ``right`` within the measured limit: its cells are broadcast and ``left``
       does not move.
@@ -150,11 +187,16 @@ def band_join(
     left_names, right_names = zip(*pairs)
     width = 2 * tolerance
     near = within_band(pairs, tolerance)
-    same_cell = [F.col(f"_cell_{i}") == F.col(f"_near_{i}") for i in range(len(pairs))]
-    helpers = [f"{kind}_{i}" for i in range(len(pairs)) for kind in ("_cell", "_near")]
+    same_cell = [
+        F.col(a) == F.col(b)
+        for i in range(len(pairs))
+        for a, b in ((f"_kind_{i}", f"_near_kind_{i}"), (f"_cell_{i}", f"_near_{i}"))
+    ]
+    kinds = ("_kind", "_cell", "_near_kind", "_near")
+    helpers = [f"{kind}_{i}" for i in range(len(pairs)) for kind in kinds]
     cells = _with_neighbours(right, right_names, width)
 
-    if fits_broadcast(right, broadcast_limit, copies=3 ** len(pairs)):
+    if fits_broadcast(cells, broadcast_limit):
         joined = _with_cells(left, left_names, width).join(
             F.broadcast(cells), [*same_cell, near], how
         )

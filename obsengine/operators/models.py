@@ -19,12 +19,16 @@ from pyspark.sql import functions as F
 
 from obsengine import constants as C
 from obsengine.functions import columns as fn
+from obsengine.operators.joins import measured_bytes
 from obsengine.operators.metrics import classification_metrics, regression_metrics
 from obsengine.operators.splits import hash_split
 from obsengine.session import materialize, scratch_path
 
 ROW_KEYS = ("city_name", "date")
 
+# Bytes of rows that one part of the stored model rows holds at most.
+PART_BYTES = 128 * 1024 * 1024
+
 
 class ModelResult(NamedTuple):
     """Scored rows and a one-row frame of metrics."""
@@ -46,9 +50,10 @@ def prepare_ml(df: DataFrame) -> DataFrame:
 
 def _stored(df: DataFrame, names: Sequence[str], label: str) -> DataFrame:
     chosen = df.select(*dict.fromkeys(names))
-    # Even parts whatever the place, and a fixed order within them: forests
-    # sample by part and position.
+    # Even parts of a bounded size whatever the place, and a fixed order within
+    # them: forests sample by part and position.
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(parts, -(-measured_bytes(chosen) // PART_BYTES))
     return materialize(chosen.repartition(parts).sortWithinPartitions(*chosen.columns), label)
 
 
@@ -58,6 +63,13 @@ def _pipeline(features: Sequence[str], estimator) -> Pipeline:
     return Pipeline(stages=[assembler, scaler, estimator])
 
 
+def scale_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Add ``scaled_features``: each feature divided by its sample deviation, as the models do."""
+    stages = _pipeline(features, None).getStages()[:2]
+    scaled = Pipeline(stages=stages).fit(df).transform(df).drop("features")
+    return scaled.withColumn("scaled_features", vector_to_array("scaled_features"))
+
+
 def _without_summary(model: PipelineModel, df: DataFrame) -> PipelineModel:
     # A forest classifier's training summary holds the session, which cannot be
     # sent to tasks once the session has observed a write. A loaded model has none.
@@ -90,9 +102,7 @@ def temperature_model(
         featuresCol="scaled_features", labelCol="temp_max", numTrees=trees, maxDepth=depth, seed=seed
     )
     scored = _pipeline(names, forest).fit(train).transform(test)
-    scored = scored.select("temp_max", "prediction", *ROW_KEYS).withColumn(
-        "error", F.abs(F.col("temp_max") - F.col("prediction"))
-    )
+    scored = fn.with_error(scored.select("temp_max", "prediction", *ROW_KEYS), "temp_max")
     return ModelResult(scored, regression_metrics(scored))
 
 

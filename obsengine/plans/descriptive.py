@@ -4,6 +4,7 @@ from collections.abc import Mapping
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from obsengine.operators import aggregates as agg
 from obsengine.operators.rankings import rank_averages
@@ -33,7 +34,8 @@ def descriptive_tables(
 
     All but the humidity quartiles are rolled up from one stored profile per
     place and month, so the observations are aggregated once. Frames without
-    humidity, such as trusted rows, lack the tables that need it.
+    humidity, such as trusted rows, lack its quartiles, and their ranking by
+    humidity is null.
     """
     profile = agg.monthly_profile(df, city, date, temperature, measures)
     profile = materialize(profile, "monthly-profile")
@@ -46,7 +48,10 @@ def descriptive_tables(
     humidity = measures.get("humidity")
     if humidity in df.columns:
         tables["humidity_analysis"] = agg.humidity_analysis(df, city, humidity)
-        tables["city_rankings"] = rank_averages(agg.averages_from_profile(profile))
+    rankings = rank_averages(agg.averages_from_profile(profile))
+    if humidity not in df.columns:
+        rankings = rankings.withColumn("humidity_rank", F.lit(None).cast("long"))
+    tables["city_rankings"] = rankings
     return tables
 
 
@@ -56,6 +61,7 @@ class RunManifest(NamedTuple):
     output_location: str
     analyses_generated: int
     total_records_processed: int
+    skipped: tuple[str, ...] = ()
 
 
 def descriptive_run(df: DataFrame, root: str | None = None, **names) -> dict[str, DataFrame]:
@@ -71,4 +77,5 @@ def descriptive_run(df: DataFrame, root: str | None = None, **names) -> dict[str
 def manifest(tables: dict[str, DataFrame], root: str) -> RunManifest:
     """Counts of a finished run; its rows are added up from the per-place totals."""
     total = tables["summary_statistics"].groupBy().sum("total_observations").first()[0]
-    return RunManifest(root, len(tables), total or 0)
+    skipped = tuple(name for name in TABLE_ORDER if name not in tables)
+    return RunManifest(root, len(tables), total or 0, skipped)

@@ -5,7 +5,8 @@ from pyspark.sql import DataFrame
 from obsengine import constants as C
 from obsengine import schemas
 from obsengine.functions import columns as fn
-from obsengine.operators.joins import BROADCAST_LIMIT, band_join
+from obsengine.operators.joins import BROADCAST_LIMIT, band_join, keyed_join
+from obsengine.session import materialize
 
 CITY_BAND = [("lat", "city_lat"), ("lon", "city_lon")]
 STATION_BAND = [("lat", "station_lat"), ("lon", "station_lon")]
@@ -28,7 +29,11 @@ def enrich(
     facts = fn.conform(observations, fn.OBSERVATION_NAMES)
     places = fn.conform(cities, fn.CITY_NAMES)
     rules = fn.conform(alerts, fn.ALERT_NAMES)
-    watched = places.join(rules, places.city_name == rules.alert_city, "left")
+    watched = keyed_join(
+        places, rules, [("city_name", "alert_city")], broadcast_limit=broadcast_limit
+    )
+    # Measured and joined: computed once.
+    watched = materialize(watched, "watched")
     sites = fn.conform(stations, fn.STATION_NAMES)
 
     options = {"tolerance": tolerance, "points": facts, "broadcast_limit": broadcast_limit}

@@ -1,6 +1,7 @@
 """Raw inputs to trusted rows."""
 
 from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from obsengine.plans.enrich import enrich
 from obsengine.plans.reports import quality_counts
@@ -21,11 +22,13 @@ def run_etl(
     """
     quality = Observation("quality")
     trusted = enrich(observations, cities, stations, alerts, **options)
-    write_trusted(trusted.observe(quality, *quality_counts()), path)
+    undated = F.count_if(F.col("date").isNull()).alias("undated_records")
+    write_trusted(trusted.observe(quality, *quality_counts(), undated), path)
     total, valid = quality.get["total_records"], quality.get["valid_records"]
     return {
         "status": "success",
         "total_records": total,
         "valid_records": valid,
+        "undated_records": quality.get["undated_records"],
         "data_quality": 100 * valid / total if total else None,
     }

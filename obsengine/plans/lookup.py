@@ -34,14 +34,18 @@ def select_period(
     """Rows of a period, both ends included.
 
     ``time`` is a date column, or ``month`` for rows of a year and month, which
-    are kept if their month touches the period. ``season`` rows belong to no
-    year, so a period does not apply to them.
+    are kept if their month touches the period. ``event_date`` rows last for
+    ``duration_days`` and are kept if any of their days is in the period.
+    ``season`` rows belong to no year, so a period does not apply to them.
     """
     if time == "season":
         if start or end:
             raise ValueError("month-of-year rows belong to no period")
         return df
-    if start:
+    if start and time == "event_date":
+        last = F.date_add(time, (F.col("duration_days") - 1).cast("int"))
+        df = df.filter(last >= F.lit(start))
+    elif start:
         df = df.filter(_month_bound(start, 1) if time == "month" else F.col(time) >= F.lit(start))
     if end:
         df = df.filter(_month_bound(end, -1) if time == "month" else F.col(time) <= F.lit(end))

@@ -46,13 +46,20 @@ def register_table(
 def publish(
     spark: SparkSession, df: DataFrame, database: str, name: str, location: str
 ) -> DataFrame:
-    """Write a result table where it is registered, sorted so that a place is easy to find.
+    """Write a result table and register it there, sorted so that a place is easy to find.
 
     Files hold separate ranges of places, so a lookup by city skips most of them.
+    A table that is registered already moves to ``location``, and what the
+    session remembers of its files is forgotten: readers get the rows of ``df``.
     """
     keys = [c for c in ("city", "year", "month", "event_date", "prediction_date") if c in df.columns]
-    df.sort(*keys).write.mode("overwrite").parquet(location)
-    return register_table(spark, database, name, location)
+    rows = df.sort(*keys) if keys else df
+    rows.write.mode("overwrite").parquet(location)
+    register_table(spark, database, name, location)
+    table = _quoted(database, name)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION {_text(location)}")
+    spark.sql(f"REFRESH TABLE {table}")
+    return spark.table(table)
 
 
 def create_weather_summary(

@@ -1,5 +1,7 @@
 """File sources."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,11 +70,15 @@ def latest_observations(df: DataFrame, keys: tuple[str, ...] = ("city", "date"))
     """One row per key: that of the latest extraction.
 
     Overlapping batches repeat days. Copies fold map-side, and rows of equal
-    extraction time are told apart by their values.
+    extraction time are told apart by their values. Rows with a null in their
+    key, such as a date that could not be read, are not copies of each other:
+    all of them stay.
     """
     ordered = ["extraction_timestamp", *(c for c in df.columns if c not in (*keys, "extraction_timestamp"))]
-    latest = df.groupBy(*keys).agg(F.max(F.struct(*ordered)).alias("_latest"))
-    return latest.select(*keys, "_latest.*").select(*df.columns)
+    whole = reduce(Column.__and__, (F.col(key).isNotNull() for key in keys))
+    latest = df.filter(whole).groupBy(*keys).agg(F.max(F.struct(*ordered)).alias("_latest"))
+    folded = latest.select(*keys, "_latest.*").select(*df.columns)
+    return folded.union(df.filter(~whole))
 
 
 def read_trusted(spark: SparkSession, path: str) -> DataFrame:

@@ -1,7 +1,6 @@
 """File sinks."""
 
-from collections.abc import Iterator, Mapping, Sequence
-from contextlib import contextmanager
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -9,20 +8,6 @@ from pyspark.sql import types as T
 
 from obsengine.session import materialize
 
-# Most rows of a result table that are written as a single file.
-SINGLE_FILE_ROWS = 1_000_000
-
-
-@contextmanager
-def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    before = spark.conf.get(key)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def write_trusted(df: DataFrame, path: str, replace_all: bool = True) -> None:
     """Overwrite Parquet partitioned by ``date``.
 
@@ -37,11 +22,7 @@ def write_trusted(df: DataFrame, path: str, replace_all: bool = True) -> None:
         .option("partitionOverwriteMode", mode)
         .partitionBy("date")
     )
-    # A task's cost here is its files more than its bytes: keep all cores busy
-    # even if the dates are small.
-    smallest = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
-    with _setting(df.sparkSession, smallest, "16KB"):
-        writer.parquet(path)
+    writer.parquet(path)
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
@@ -69,42 +50,66 @@ def save_results(
     results: Mapping[str, DataFrame],
     root: str,
     order: Mapping[str, Sequence[str]] | None = None,
-    single_file_rows: int = SINGLE_FILE_ROWS,
+    single_file: bool = True,
     stored: bool = False,
 ) -> None:
     """Write each table as Parquet and as headered CSV, sorted by its ``order`` columns.
 
     Each table is computed once and stored; both formats copy the stored rows.
     Say ``stored`` if the tables are read from files already.
-    Up to ``single_file_rows`` rows become one file per format, and a larger
-    table one file per range of its order.
+    ``single_file`` writes one file per table and format, whatever its size:
+    one task then writes the table. Without it a table becomes one file per
+    range of its order.
     """
     order = order or {}
     root = root.rstrip("/")
     for name, df in results.items():
         table = df if stored else materialize(df, name)
-        rows = _laid_out(table, order.get(name, ()), single_file_rows)
+        rows = _laid_out(table, order.get(name, ()), single_file)
         parquet = rows.write.mode("overwrite").option("compression", "snappy")
         parquet.parquet(f"{root}/descriptive_analytics/{name}")
         csv = rows.write.mode("overwrite").option("header", True)
         csv.csv(f"{root}/descriptive_analytics_csv/{name}")
 
 
-def _laid_out(stored: DataFrame, order: Sequence[str], single_file_rows: int) -> DataFrame:
-    if stored.count() <= single_file_rows:
+def _laid_out(stored: DataFrame, order: Sequence[str], single_file: bool) -> DataFrame:
+    if single_file:
         one = stored.coalesce(1)
         return one.sortWithinPartitions(*order) if order else one
     return stored.orderBy(*order) if order else stored
 
 
-def _iso(field: T.StructField) -> Column:
+# Texts that CSV can't tell apart are written with a backslash: null, empty, and a leading one.
+_NULL, _EMPTY = "\\N", "\\E"
+_CSV = {
+    "header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
+def _as_text(field: T.StructField) -> Column:
     column = F.col(f"`{field.name}`")
-    if not isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-        return column
-    whole = F.date_trunc("second", column) == column
-    seconds = F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss")
-    micros = F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    return F.when(whole, seconds).otherwise(micros).alias(field.name)
+    if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
+        whole = F.date_trunc("second", column) == column
+        seconds = F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss")
+        micros = F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        column = F.when(whole, seconds).otherwise(micros)
+    elif isinstance(field.dataType, T.StringType):
+        marked = F.when(column == "", _EMPTY).when(
+            F.startswith(column, F.lit("\\")), F.concat(F.lit("\\"), column)
+        )
+        column = F.when(column.isNull(), _NULL).otherwise(F.coalesce(marked, column))
+    return column.alias(field.name)
+
+
+def _from_text(field: T.StructField) -> Column:
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.StringType):
+        plain = F.when(F.startswith(column, F.lit("\\")), F.substr(column, F.lit(2)))
+        column = F.when(column == _EMPTY, "").when(
+            column != _NULL, F.coalesce(plain, column)
+        )
+    return column.cast(field.dataType).alias(field.name)
 
 
 SNAPSHOT_MANIFEST = T.StructType(
@@ -121,7 +126,9 @@ def snapshot_tables(
 ) -> DataFrame:
     """Export each table to headered CSV under ``root``; returns one row per export.
 
-    Empty tables are skipped and timestamps become ISO text. Rows are counted
+    Empty tables are skipped and timestamps become ISO text. Null text is
+    written as ``\\N``, empty text as ``\\E``, and a leading backslash is doubled, so
+    that :func:`read_snapshot` gets back what was written. Rows are counted
     while they are written.
     """
     written = []
@@ -130,9 +137,21 @@ def snapshot_tables(
             continue
         path = f"{root.rstrip('/')}/database_exports/{name}_{stamp}"
         seen = Observation()
-        rows = df.select(*(_iso(field) for field in df.schema.fields))
-        rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option(
-            "header", True
+        rows = df.select(*(_as_text(field) for field in df.schema.fields))
+        rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").options(
+            **_CSV
         ).csv(path)
         written.append((name, path, seen.get["n"]))
     return spark.createDataFrame(written, SNAPSHOT_MANIFEST)
+
+
+def read_snapshot(
+    spark: SparkSession, exports: str, name: str, stamp: str, schema: T.StructType
+) -> DataFrame:
+    """The rows of one table in one snapshot, its columns found by name.
+
+    Text may hold line breaks, so a file is read by one task.
+    """
+    path = f"{exports.rstrip('/')}/{name}_{stamp}"
+    rows = spark.read.options(**_CSV, multiLine=True).csv(path)
+    return rows.select(*(_from_text(field) for field in schema.fields))

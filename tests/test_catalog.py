@@ -35,6 +35,14 @@ def test_register_is_repeatable(spark, database, tmp_path):
     assert table.count() == 12  # the location registered first stays
 
 
+def test_publishing_again_serves_the_last_rows(spark, tmp_path):
+    catalog.ensure_database(spark, "again", f"{tmp_path}/db")
+    rows = spark.range(9).selectExpr("cast(id as string) AS data")
+    for n, where in ((5, "a"), (3, "a"), (9, "b"), (2, "a")):
+        catalog.publish(spark, rows.limit(n), "again", "other", f"{tmp_path}/{where}")
+        assert spark.table("again.other").count() == n
+
+
 def test_unknown_tables_have_one_text_column(spark, database, tmp_path):
     spark.createDataFrame([("x",)], "data string").write.parquet(f"{tmp_path}/o'ther")
     table = catalog.register_table(spark, database, "other", f"{tmp_path}/o'ther")

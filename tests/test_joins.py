@@ -62,6 +62,31 @@ def test_band_is_strict_on_doubles(frame, limit):
     )
 
 
+@pytest.mark.parametrize("tolerance", [1e-15, 1e-14, 1e-9, 0.1, 10.0])
+@pytest.mark.parametrize("most", [joins.BROADCAST_LIMIT, 0])
+def test_bands_at_any_magnitude(spark, tolerance, most):
+    import itertools
+    import math
+
+    sizes = [0.0, 1e-15, 80.0, 170.0, 1e6, 1e15, 1e18, 1e300, tolerance * 2.0**51, tolerance * 2.0**54]
+    near = sorted({s * x for v in sizes for s in (1, -1) for x in (v, math.nextafter(v, 1e301), v + tolerance / 2, v + tolerance)})
+    near += [math.inf, -math.inf, math.nan, None]
+    a = spark.createDataFrame([(i, v) for i, v in enumerate(near)], "i int, x double")
+    b = a.withColumnsRenamed({"i": "j", "x": "u"})
+    got = joins.band_join(a, b, [("x", "u")], tolerance, "inner", broadcast_limit=most)
+    finite = [(i, v) for i, v in enumerate(near) if v is not None and math.isfinite(v)]
+    expected = {(i, j) for (i, v), (j, u) in itertools.product(finite, finite) if abs(v - u) < tolerance}
+    rows = [(r.i, r.j) for r in got.collect()]
+    assert sorted(rows) == sorted(expected)
+
+
+@pytest.mark.parametrize("most", [joins.BROADCAST_LIMIT, 0])
+def test_maps_pass_on_both_branches(spark, most):
+    a = spark.createDataFrame([("k", {"x": 1}), ("l", None)], "k string, m map<string,int>")
+    b = a.withColumnsRenamed({"k": "key", "m": "map"})
+    assert joins.keyed_join(a, b, [("k", "key")], broadcast_limit=most).count() == 2
+
+
 @pytest.mark.parametrize("limit", STRATEGIES.values(), ids=STRATEGIES)
 def test_duplicate_rows_multiply(frame, limit):
     a = frame("i int, x double, y double", (1, 0.0, 0.0), (1, 0.0, 0.0), (2, 5.0, 5.0))

@@ -24,7 +24,8 @@ def raw(spark, sf_dir, tmp_path_factory):
         writers.land_batch(batch, f"{root}/observations", stamp[:10])
     tables = {"cities": "cities", "stations": "stations", "weather_alerts": "alerts"}
     frames = {table: fixtures.view(spark, sf_dir, name) for table, name in tables.items()}
-    writers.snapshot_tables(spark, frames, root, "20240101")
+    for stamp in ("20240101", "20240102"):  # a second snapshot multiplies nothing
+        writers.snapshot_tables(spark, frames, root, stamp)
     return root
 
 
@@ -36,12 +37,13 @@ def test_pipeline(spark, raw, tmp_path, capsys):
     trusted, out = f"{tmp_path}/trusted", f"{tmp_path}/refined"
     report = run(
         "etl", "--observations", f"{raw}/observations/*", "--lines", "--latest",
-        "--exports", f"{raw}/database_exports", "--output", trusted,
+        "--exports", f"{raw}/database_exports", "--stamp", "20240101", "--output", trusted,
     )
     # The batches overlap entirely, and each day is kept once.
     assert (report["total_records"], report["valid_records"]) == (6954, 3244)
     manifest = run("descriptive", "--input", trusted, "--output", out)
-    assert manifest["total_records_processed"] == 6954 and manifest["analyses_generated"] == 5
+    assert manifest["total_records_processed"] == 6954 and manifest["analyses_generated"] == 6
+    assert manifest["skipped"] == ["humidity_analysis"]
 
     predictions = f"{tmp_path}/predictions"
     readers.read_trusted(spark, trusted).filter("city_name is not null").select(

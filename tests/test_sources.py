@@ -129,12 +129,12 @@ def test_a_large_date_is_split_over_files(spark, tmp_path):
     assert len(files(tmp_path / "t" / "date=2023-01-01", ".parquet")) > 1
 
 
-@pytest.mark.parametrize(("limit", "single"), [(1000, True), (10, False)])
-def test_results_in_both_formats(spark, tmp_path, limit, single):
+@pytest.mark.parametrize("single", [True, False])
+def test_results_in_both_formats(spark, tmp_path, single):
     table = spark.range(0, 500, 1, 5).selectExpr("499 - id as id", "'x' as name").repartition(4)
     root = str(tmp_path)
     for _ in range(2):
-        writers.save_results({"t": table}, root, {"t": ("id",)}, limit)
+        writers.save_results({"t": table}, root, {"t": ("id",)}, single)
     parquet = files(f"{root}/descriptive_analytics/t", ".snappy.parquet")
     csv = files(f"{root}/descriptive_analytics_csv/t", ".csv")
     assert multiset(spark.read.parquet(f"{root}/descriptive_analytics/t")) == multiset(table)
@@ -161,6 +161,21 @@ def test_snapshot(spark, tmp_path):
     assert writers.snapshot_tables(spark, {}, str(tmp_path), "s").isEmpty()
 
 
+def test_snapshot_text_comes_back(spark, tmp_path):
+    texts = ["a\nb", 'q"u,o"te', "", None, "\\N", "\\\\x", " pad ", "cr\r\nlf", "plain"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id bigint, text string")
+    writers.snapshot_tables(spark, {"docs": docs, "docs_old": docs}, str(tmp_path), "1")
+    writers.snapshot_tables(spark, {"docs": docs.limit(2)}, str(tmp_path), "2")
+    back = writers.read_snapshot(spark, f"{tmp_path}/database_exports", "docs", "1", docs.schema)
+    assert multiset(back) == multiset(docs)
+
+
+def test_rows_without_a_date_are_no_copies(spark):
+    rows = [("a", None, 1.0, "1"), ("a", None, 2.0, "2"), ("a", "d", 1.0, "1"), ("a", "d", 2.0, "2")]
+    df = spark.createDataFrame(rows, "city string, date string, v double, extraction_timestamp string")
+    assert sorted(r.v for r in readers.latest_observations(df).collect()) == [1.0, 2.0, 2.0]
+
+
 def test_jdbc_options():
     split = jdbc.Partitioning("id", 1, 1000, 8)
     options = jdbc.jdbc_options("jdbc:mysql://h/d", "cities", {"user": "u"}, split)
