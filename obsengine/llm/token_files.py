@@ -35,23 +35,45 @@ _LENGTHS = ((np.arange(256)[:, None] >> np.arange(0, 8, 2)) & 3) + 1
 _MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 
 
-def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """(control bytes, codes) of ranks below 2**32."""
-    ranks = ranks.astype("<u4")
-    lengths = 1 + (ranks > 0xFF) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF).astype(np.int64)
-    filled = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
-    filled[: len(ranks)] = lengths - 1
-    quads = filled.reshape(-1, 4)
-    control = quads[:, 0] | quads[:, 1] << 2 | quads[:, 2] << 4 | quads[:, 3] << 6
-    taken = np.arange(4) < lengths[:, None]
-    return control.tobytes(), ranks.view(np.uint8).reshape(-1, 4)[taken].tobytes()
-
-
-def decode_ranks(control: bytes, codes: bytes, n: int) -> np.ndarray:
-    """The ``n`` ranks of :func:`encode_ranks`."""
-    lengths = _LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:n]
+#: Documents encoded or decoded by one pass over arrays, which bounds their memory.
+_CHUNK = 400
+
+
+def _within(sizes: np.ndarray) -> np.ndarray:
+    """Position of each entry in its document, filled up to whole quads."""
+    quads = -(-sizes // 4) * 4
+    return np.arange(quads.sum()) - np.repeat(np.cumsum(quads) - quads, quads)
+
+
+def encode_many(ranks: np.ndarray, sizes: np.ndarray) -> list[tuple[bytes, bytes]]:
+    """(control bytes, codes) of each document; ``ranks`` below 2**32 hold one after the other."""
+    sizes = sizes.astype(np.int64)
+    quads = -(-sizes // 4) * 4
+    real = _within(sizes) < np.repeat(sizes, quads)
+    filled = np.zeros(len(real), "<u4")
+    filled[real] = ranks
+    lengths = 1 + (filled > 0xFF).astype(np.uint8) + (filled > 0xFFFF) + (filled > 0xFFFFFF)
+    bits = (lengths - 1).reshape(-1, 4)
+    control = (bits[:, 0] | bits[:, 1] << 2 | bits[:, 2] << 4 | bits[:, 3] << 6).astype(np.uint8).tobytes()
+    lengths[~real] = 0
+    codes = filled.view(np.uint8).reshape(-1, 4)[np.arange(4) < lengths[:, None]].tobytes()
+    control_ends = np.cumsum(quads) // 4
+    sums = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+    code_ends = sums[np.cumsum(quads)] if len(quads) else quads
+    out, c, d = [], 0, 0
+    for ce, de in zip(control_ends.tolist(), code_ends.tolist(), strict=True):
+        out.append((control[c:ce], codes[d:de]))
+        c, d = ce, de
+    return out
+
+
+def decode_many(control: list[bytes], codes: list[bytes], sizes: np.ndarray) -> np.ndarray:
+    """The ranks of all documents, one after the other."""
+    sizes = sizes.astype(np.int64)
+    lengths = _LENGTHS[np.frombuffer(b"".join(control), np.uint8)].reshape(-1)
+    lengths = lengths[_within(sizes) < np.repeat(sizes, -(-sizes // 4) * 4)]
     starts = np.cumsum(lengths) - lengths
-    data = np.frombuffer(codes + b"\0\0\0", np.uint8).astype(np.uint32)
+    data = np.frombuffer(b"".join(codes) + b"\0\0\0", np.uint8).astype(np.uint32)
     words = data[starts] | data[starts + 1] << 8 | data[starts + 2] << 16 | data[starts + 3] << 24
     return words & _MASKS[lengths]
 
@@ -79,8 +101,9 @@ def _ranked(stored: DataFrame, width: str) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch.column(0).to_pylist():
-                one = np.bincount(np.frombuffer(ids, width))
+            listed = batch.column(0).to_pylist()
+            for k in range(0, len(listed), _CHUNK):
+                one = np.bincount(np.frombuffer(b"".join(listed[k : k + _CHUNK]), width))
                 if len(one) > len(total):
                     total = np.concatenate([total, np.zeros(len(one) - len(total), np.int64)])
                 total[: len(one)] += one
@@ -115,13 +138,14 @@ def write_ids(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, at = TaskContext.get().partitionId(), 0
         for batch in batches:
-            starts, control, codes = [], [], []
-            for n, ids in zip(*(batch.column(i).to_pylist() for i in (1, 2)), strict=True):
-                starts.append(at)
-                at += n
-                pair = encode_ranks(shared.value[np.frombuffer(ids, width)])
-                control.append(pair[0])
-                codes.append(pair[1])
+            sizes = batch.column(1).to_numpy()
+            starts = at + np.cumsum(sizes) - sizes
+            at += int(sizes.sum())
+            listed, pairs = batch.column(2).to_pylist(), []
+            for k in range(0, len(listed), _CHUNK):
+                ids = np.frombuffer(b"".join(listed[k : k + _CHUNK]), width)
+                pairs += encode_many(shared.value[ids], sizes[k : k + _CHUNK])
+            control, codes = [p[0] for p in pairs], [p[1] for p in pairs]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), pa.array([part] * len(starts), pa.int64()), pa.array(starts, pa.int64()),
@@ -153,19 +177,20 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
     shared = spark.sparkContext.broadcast(ids_of)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = [
-                shared.value[decode_ranks(control, codes, n)].astype("<u4")
-                for n, control, codes in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0), batch.column(1), batch.column(2),
-                    pa.array([x.tobytes() for x in ids], pa.binary()),
-                    pa.array([ids_crc32(x) for x in ids], pa.int64()),
-                ],
-                ["doc_id", "start", "n_tokens", "ids", "ids_crc32"],
-            )
+        for whole in batches:
+            for batch in (whole.slice(k, _CHUNK) for k in range(0, whole.num_rows, _CHUNK)):
+                sizes = batch.column(2).to_numpy()
+                ranks = decode_many(batch.column(3).to_pylist(), batch.column(4).to_pylist(), sizes)
+                flat = shared.value[ranks].astype("<u4")
+                ids = np.split(flat, np.cumsum(sizes)[:-1]) if len(sizes) else []
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0), batch.column(1), batch.column(2),
+                        pa.array([x.tobytes() for x in ids], pa.binary()),
+                        pa.array([ids_crc32(x) for x in ids], pa.int64()),
+                    ],
+                    ["doc_id", "start", "n_tokens", "ids", "ids_crc32"],
+                )
 
     # As many rows as there are parts, each of PART_IDS ids or more.
     placed = data.join(F.broadcast(spark.read.parquet(f"{folder}/parts")), "part")

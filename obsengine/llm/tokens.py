@@ -84,6 +84,15 @@ class PieceEncoder:
         return array("I", [t.id for t in self._model.tokenize(cut_out)]).tobytes()
 
     def _by_piece(self, piece: str) -> bytes:
+        word = piece[piece[:1] == " " :]
+        if word.isascii() and word.isalpha():  # most of them: one part, no byte to rewrite
+            if not self._spaced:
+                piece = piece.lower()
+            found = self._cut_out.get(piece)
+            if found is None:
+                shown = piece.replace(" ", _BYTES[32])
+                found = array("I", [t.id for t in self._model.tokenize(shown)]).tobytes()
+            return found
         if not _PLAIN(piece):
             return self._by_library(piece)
         parts = _SPACED_SPLIT(piece) if self._spaced else _LOWER_SPLIT(piece.lower())
