@@ -16,9 +16,9 @@ Only connected classes are asked for, so pairs inside what is known to be one
 component need no check. First each group meets at most two pivots, those that
 share most of its prefix, which is linear however many documents are alike.
 Then groups of different components that share a shingle meet in blocks of
-bounded size, never two of the component that holds most of them: once to link
-each to the one that seems most alike, and once more for all pairs that are
-still apart. A block hands on only pairs whose sizes, prefix positions and
+bounded size, never two of the component that holds most of them: where many
+share it, once to link each to the one that seems most alike, and then for all
+pairs that are still apart. A block hands on only pairs whose sizes, prefix positions and
 bitmaps allow the similarity, not the pairs it compares.
 """
 
@@ -44,6 +44,8 @@ SLICES = 128
 #: Bits of a set's bitmap, and groups per side of a block.
 SET_BITS = 512
 BLOCK = 1024
+#: Groups sharing a token from which the first meeting is for the most alike only.
+OFTEN = 64
 
 
 def _rarity(docs: DataFrame, size: int) -> np.ndarray:
@@ -409,11 +411,14 @@ def near_join(
     pairs = _members(star, members).union(inside.select(F.col("key").alias("a"), "b"))
     links = _verified(base, classes, pairs, size, percent, unique)
     known = _known(links)
+    # Only tokens of many groups gain from being joined to the most alike first.
+    often = shared.groupBy("token").count().filter(F.col("count") >= OFTEN).select("token")
+    crowded = materialize(shared.join(often, "token", "left_semi"), "crowded")
     for nearest_only in (True, False):
         members_at = members.join(known, "key", "left").select(
             "gid", "key", "bits", F.coalesce("root", "key").alias("root")
         )
-        pairs = _members(_meetings(shared, members_at, percent, nearest_only), members)
+        pairs = _members(_meetings(crowded if nearest_only else shared, members_at, percent, nearest_only), members)
         if not nearest_only:
             pairs = pairs.union(_torn(members_at))
         links = links.union(_verified(base, classes, pairs, size, percent, unique))
