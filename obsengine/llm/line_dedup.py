@@ -52,8 +52,8 @@ def variants(hashes: np.ndarray) -> np.ndarray:
     np.cumsum(hashes * power[:n], out=before[1:])
     without = before[:-1] + (before[-1] - before[1:]) * _INVERSE
     out = np.concatenate([before[-1:], without])
-    out[:1] += np.uint64(n) * power[-1]
-    out[1:] += np.uint64(n - 1) * power[n - 1]
+    out[:1] += np.uint64(n) * power[-1:]
+    out[1:] += np.uint64(n - 1) * power[n - 1 : n]
     out ^= out >> np.uint64(31)
     out *= np.uint64(0xBF58476D1CE4E5B9)
     return out ^ (out >> np.uint64(29))
