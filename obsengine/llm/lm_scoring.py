@@ -12,7 +12,6 @@ to window.
 from __future__ import annotations
 
 import heapq
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,6 +29,7 @@ from obsengine.session import materialize
 SHORTLIST = 2048
 #: Words whose counts every task has at hand; counts of rarer words are joined.
 TABLE_WORDS = 1 << 19
+SCORED = 5_000  # documents scored together: many, so that one long text leaves few lanes idle
 EVERY, ROUNDS, SEGMENT, LANES = 8, 2, 2 * gru.WINDOW, 128
 
 # A token is a 58-bit hash of the word and, in the low 6 bits, its tail class.
@@ -73,26 +73,14 @@ def tokens(text: bytes | None) -> np.ndarray:
 
 
 def _counts(docs: DataFrame) -> DataFrame:
-    """(token, c) over all training documents; tasks add up what they have before the shuffle."""
+    """(token, c) over all training documents; each batch is added up before the shuffle."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[int] = Counter()
-
-        def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_pydict(
-                {"token": pa.array(list(held), pa.int64()), "c": pa.array(list(held.values()), pa.int64())}
-            )
-            held.clear()
-            return out
-
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                found, n = np.unique(tokens(text), return_counts=True)
-                held.update(dict(zip(found.tolist(), n.tolist(), strict=True)))
-                if len(held) > 1_000_000:
-                    yield flush()
-        if held:
-            yield flush()
+            found = [tokens(text) for text in batch.column(0).to_pylist()]
+            if found:
+                token, c = np.unique(np.concatenate(found), return_counts=True)
+                yield pa.RecordBatch.from_pydict({"token": token, "c": c.astype(np.int64)})
 
     return docs.select("_bytes").mapInArrow(count, "token bigint, c bigint").groupBy("token").agg(F.sum("c").alias("c"))
 
@@ -278,7 +266,7 @@ def _parts(docs: DataFrame, table, model) -> DataFrame:
         tail_n = np.log10(known.tail_total + 0.1 * (known.tail_words + 1))
         number = TaskContext.get().partitionId() << 40
         for whole in batches:
-            for batch in (whole.slice(at, 1000) for at in range(0, whole.num_rows, 1000)):
+            for batch in (whole.slice(at, SCORED) for at in range(0, whole.num_rows, SCORED)):
                 found = [tokens(text) for text in batch.column(2).to_pylist()]
                 sizes = np.array([len(f) for f in found], np.int64)
                 source = np.repeat(np.arange(len(found)), sizes)
