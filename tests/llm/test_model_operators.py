@@ -191,7 +191,7 @@ def test_state_crosses_windows():
 
 
 def test_pipeline_stages(spark, sf_dir, documents):
-    import test_token_operators as tokens
+    from llm import test_token_operators as tokens
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     columns = docs.columns
