@@ -89,12 +89,20 @@ def forward(m: Model, x: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: boo
     return states, h, trace
 
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
+def _softmax(logits: np.ndarray) -> np.ndarray:
     logits -= logits.max(1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(1, keepdims=True))
+    np.exp(logits, out=logits)
+    logits /= logits.sum(1, keepdims=True)
     return logits
 
 
+def _log_at(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Log-softmax of each row at its chosen column."""
+    logits -= logits.max(1, keepdims=True)
+    out = logits[np.arange(len(logits)), chosen].astype(np.float64)
+    return out - np.log(np.exp(logits, out=logits).sum(1))
+
+
 def _by_class(cls: np.ndarray, shortlist: int):
     """Rows of each shortlist class that occurs."""
     order = np.argsort(cls, kind="stable")
@@ -105,11 +113,9 @@ def _by_class(cls: np.ndarray, shortlist: int):
 
 def log_probs(m: Model, h: np.ndarray, cls: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Natural log-probability of the class, and of the word in it for shortlist classes, given states."""
-    rows = np.arange(len(h))
-    out = _log_softmax(h @ m.classes + m.class_bias)[rows, cls].astype(np.float64)
+    out = _log_at(h @ m.classes + m.class_bias, cls)
     for k, at in _by_class(cls, len(m.words)):
-        inner = _log_softmax(h[at] @ m.words[k] + m.word_bias[k])
-        out[at] += inner[np.arange(len(at)), word[at]]
+        out[at] += _log_at(h[at] @ m.words[k] + m.word_bias[k], word[at])
     return out
 
 
@@ -123,14 +129,14 @@ def gradients(m: Model, x, fresh, h, cls, word, used):
     dh_all = np.zeros_like(flat)
     c, w = cls.reshape(-1)[rows], word.reshape(-1)[rows]
     hs, wt = flat[rows], weight[rows][:, None]
-    d = np.exp(_log_softmax(hs @ m.classes + m.class_bias))
+    d = _softmax(hs @ m.classes + m.class_bias)
     d[np.arange(len(rows)), c] -= 1
     d *= wt
     g[2] += hs.T @ d
     g[3] += d.sum(0)
     dh = d @ m.classes.T
     for k, at in _by_class(c, len(m.words)):
-        d = np.exp(_log_softmax(hs[at] @ m.words[k] + m.word_bias[k]))
+        d = _softmax(hs[at] @ m.words[k] + m.word_bias[k])
         d[np.arange(len(at)), w[at]] -= 1
         d *= wt[at]
         g[4][k] += hs[at].T @ d
@@ -160,31 +166,35 @@ def gradients(m: Model, x, fresh, h, cls, word, used):
 
 
 class Trainer:
-    """Adam over windows; takes fixed-length segments of documents."""
+    """Adam over windows. A step on fewer than ``full`` words is shorter, by the root of their share."""
 
-    def __init__(self, model: Model, rate: float = 0.01):
-        self.model, self.rate, self.updates = model, rate, 0
+    def __init__(self, model: Model, full: int, rate: float = 0.01):
+        self.model, self.full, self.rate, self.updates = model, full, rate, 0
+        #: Words learned from.
+        self.learned = 0
         self._m = [np.zeros_like(p) for p in model.parts()]
         self._v = [np.zeros_like(p) for p in model.parts()]
 
-    def _step(self, grads: list[np.ndarray]) -> None:
+    def _step(self, grads: list[np.ndarray], share: float) -> None:
         self.updates += 1
         size = np.sqrt(sum(float((g * g).sum()) for g in grads))
         scale = np.float32(min(1.0, 1.0 / (size + 1e-12)))
         b1, b2 = 0.9, 0.99
-        rate = self.rate * np.sqrt(1 - b2**self.updates) / (1 - b1**self.updates)
+        rate = self.rate * np.sqrt(min(1.0, share)) * np.sqrt(1 - b2**self.updates) / (1 - b1**self.updates)
         for p, g, m, v in zip(self.model.parts(), grads, self._m, self._v, strict=True):
             g *= scale
             m += (1 - b1) * (g - m)
             v += (1 - b2) * (g * g - v)
             p -= (rate * m / (np.sqrt(v) + 1e-8)).astype(np.float32)
 
-    def learn(self, x, fresh, cls, word, used) -> None:
-        """Windows of (time, lane) arrays one after the other, states carried, gradients cut between them."""
-        h = np.zeros((x.shape[1], HIDDEN), np.float32)
+    def learn(self, x, fresh, cls, word, used, h) -> np.ndarray:
+        """Windows of (time, lane) arrays from the states h on, gradients cut between them; the last states."""
         for at in range(0, len(x), WINDOW):
             cut = slice(at, at + WINDOW)
-            if not used[cut].any():
+            n = int(used[cut].sum())
+            if not n:
                 break
             grads, h = gradients(self.model, x[cut], fresh[cut], h, cls[cut], word[cut], used[cut])
-            self._step(grads)
+            self._step(grads, n / self.full)
+            self.learned += n
+        return h

@@ -2,11 +2,11 @@
 
 All training documents are counted. The recurrent model is trained where the
 documents are: each task improves the common weights on its own documents and
-the weights are averaged, round by round. In every round each document gives
-the segments whose number falls to that round, one in ``EVERY``, so what is
-learned from grows with the corpus and no document is left out by place or
-size. Scoring reads every token of every document, states carried from window
-to window.
+the weights are averaged, round by round. Each document falls to one round by
+the hash of its text, and that round learns from all its tokens, states carried
+from segment to segment; so every token of every training document is learned
+from once. Scoring reads every token of every document, states carried from
+window to window.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ SHORTLIST = 2048
 #: Words whose counts every task has at hand; counts of rarer words are joined.
 TABLE_WORDS = 1 << 19
 SCORED = 5_000  # documents scored together: many, so that one long text leaves few lanes idle
-EVERY, ROUNDS, SEGMENT, LANES = 8, 2, 2 * gru.WINDOW, 128
+ROUNDS, SEGMENT, LANES = 2, 2 * gru.WINDOW, 128
 
 # A token is a 58-bit hash of the word and, in the low 6 bits, its tail class.
 _TAILS = 40
@@ -146,44 +146,67 @@ def _targets(inputs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return cls, np.where(short, inputs % gru.CLASS_SIZE, 0)
 
 
-def _train(docs: DataFrame, table, model: gru.Model, turn: int) -> gru.Model:
-    """One round over all training documents; the mean of the tasks' weights by their updates."""
+class _Lanes:
+    """Documents one after the other in lanes, which a trainer reads side by side with their states."""
+
+    def __init__(self, trainer: gru.Trainer, end: int):
+        self._trainer, self._end = trainer, end
+        # Per lane: inputs, targets, and whether they start a document.
+        self._waiting: list[list[tuple[np.ndarray, np.ndarray, bool]]] = [[] for _ in range(LANES)]
+        self._sizes = [(0, lane) for lane in range(LANES)]
+        self._states = np.zeros((LANES, gru.HIDDEN), np.float32)
+
+    def add(self, targets: np.ndarray) -> None:
+        """A document goes to the shortest lane; lanes are read while all have a whole segment."""
+        size, lane = self._sizes[0]
+        self._waiting[lane].append((np.append(self._end, targets[:-1]), targets, True))
+        heapq.heapreplace(self._sizes, (size + len(targets), lane))
+        while self._sizes[0][0] >= SEGMENT:
+            self._read()
+
+    def finish(self) -> None:
+        while any(self._waiting):
+            self._read()
+
+    def _read(self) -> None:
+        """Learn from the next segment of every lane that has something waiting."""
+        live = [lane for lane, parts in enumerate(self._waiting) if parts]
+        x = np.full((SEGMENT, len(live)), self._end, np.int64)
+        y, used, fresh = np.zeros_like(x), np.zeros(x.shape, bool), np.zeros(x.shape, bool)
+        for column, lane in enumerate(live):
+            parts, at = self._waiting[lane], 0
+            while parts and at < SEGMENT:
+                inputs, targets, first = parts[0]
+                n = min(len(targets), SEGMENT - at)
+                x[at : at + n, column], y[at : at + n, column] = inputs[:n], targets[:n]
+                used[at : at + n, column] = True
+                fresh[at, column] = first
+                parts[:1] = [(inputs[n:], targets[n:], False)] if n < len(targets) else []
+                at += n
+        cls, word = _targets(y)
+        self._states[live] = self._trainer.learn(x, fresh, cls, word, used, self._states[live])
+        self._sizes = [(max(0, size - SEGMENT), lane) for size, lane in self._sizes]
+        heapq.heapify(self._sizes)
+
+
+def _train(docs: DataFrame, table, model: gru.Model, turn: int) -> tuple[gru.Model, int]:
+    """One round over the training documents that fall to it: the mean of the tasks' weights by the
+    tokens they learned from, and the number of these."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer = gru.Trainer(shared.value.unpacked(shared.value.packed()))
+        trainer = gru.Trainer(shared.value.unpacked(shared.value.packed()), gru.WINDOW * LANES)
         known = table.value
-        end = int(known.look_up(np.array([END]))[2][0])
-        waiting: list[tuple[np.ndarray, bool]] = []
-
-        def learn() -> None:
-            x = np.zeros((SEGMENT, len(waiting)), np.int64)
-            y, used, fresh = x.copy(), np.zeros(x.shape, bool), np.zeros(x.shape, bool)
-            for lane, (part, first) in enumerate(waiting):
-                size = len(part) - 1
-                x[:size, lane], y[:size, lane] = part[:-1], part[1:]
-                used[:size, lane] = True
-                fresh[0, lane] = first
-            cls, word = _targets(y)
-            trainer.learn(x, fresh, cls, word, used)
-            waiting.clear()
-
+        lanes = _Lanes(trainer, int(known.look_up(np.array([END]))[2][0]))
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                found = tokens(text)
-                offset = xxhash.xxh3_64_intdigest(text or b"") % EVERY
-                parts = range((turn - offset) % EVERY * SEGMENT, len(found), EVERY * SEGMENT)
-                for at in parts:
-                    piece = known.look_up(found[max(0, at - 1) : at + SEGMENT])[2]
-                    waiting.append((piece if at else np.append(end, piece), at == 0))
-                    if len(waiting) == LANES:
-                        learn()
-        if waiting:
-            learn()
-        if trainer.updates:
-            weights = trainer.model.packed().astype(np.float64) * trainer.updates
+                if xxhash.xxh3_64_intdigest(text or b"") % ROUNDS == turn:
+                    lanes.add(known.look_up(tokens(text))[2])
+        lanes.finish()
+        if trainer.learned:
+            weights = trainer.model.packed().astype(np.float64) * trainer.learned
             yield pa.RecordBatch.from_pydict(
-                {"slot": [TaskContext.get().partitionId() % 256], "n": [trainer.updates], "weights": [weights.tobytes()]}
+                {"slot": [TaskContext.get().partitionId() % 256], "n": [trainer.learned], "weights": [weights.tobytes()]}
             )
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,9 +225,9 @@ def _train(docs: DataFrame, table, model: gru.Model, turn: int) -> gru.Model:
         sums = sums.repartition(parts, "slot").mapInArrow(add, schema)
     rows = sums.collect()
     if not rows:
-        return model
-    mean = sum(np.frombuffer(r["weights"]) for r in rows) / sum(r["n"] for r in rows)
-    return model.unpacked(mean)
+        return model, 0
+    n = sum(r["n"] for r in rows)
+    return model.unpacked(sum(np.frombuffer(r["weights"]) for r in rows) / n), n
 
 
 def _lanes(lengths: list[int], most: int = 256) -> list[list[int]]:
@@ -321,7 +344,7 @@ def lm_scores(docs: DataFrame, *, folds: int = 10) -> DataFrame:
     table = context.broadcast(known)
     model = gru.initial(known.words, known.tail_total.astype(np.float64))
     for turn in range(ROUNDS):
-        model = _train(training, table, model, turn)
+        model, _ = _train(training, table, model, turn)
     parts = materialize(_parts(base, table, context.broadcast(model)), "parts")
     rare = parts.select("row", F.explode("rest").alias("token")).join(counts, "token", "left")
     c = F.coalesce("c", F.lit(0))

@@ -127,6 +127,42 @@ def test_op9_counts_all_and_beats_the_base(spark, sf_dir, documents, monkeypatch
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_training_learns_from_every_token(spark):
+    """Short texts, copies and long texts alike; the state of a long text is handed on."""
+    sizes = [0, 1, 5, 40, 63, 64, 65, 300, 1000]
+    texts = [" ".join(f"w{(i * j) % 97}" for j in range(n)) for i, n in enumerate(sizes * 20)] + ["the same"] * 30 + [None]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").selectExpr("cast(text AS binary) AS _bytes")
+    known = lm_scoring._table(lm_scoring._counts(docs))
+    table = spark.sparkContext.broadcast(known)
+    model, learned = gru.initial(known.words, known.tail_total.astype(np.float64)), 0
+    for turn in range(lm_scoring.ROUNDS):
+        model, n = lm_scoring._train(docs, table, model, turn)
+        learned += n
+    assert learned == known.n == sum(len((t or "").split()) + 1 for t in texts)
+
+
+def test_lanes_hand_states_on():
+    rng = np.random.default_rng(5)
+    model = gru.initial(rng.integers(1, 9, 2048), np.ones(40))
+    docs = [rng.integers(0, 2088, n) for n in (*rng.integers(1, 90, 300), 700, 1, 64, 129)]
+    seen = []
+
+    class Reader:
+        def learn(self, x, fresh, cls, word, used, h):
+            states, last, _ = gru.forward(model, x, fresh, h)
+            logs = gru.log_probs(model, states.reshape(-1, gru.HIDDEN), cls.reshape(-1), word.reshape(-1))
+            seen.append(logs[used.reshape(-1)])
+            return last
+
+    lanes = lm_scoring._Lanes(Reader(), 7)
+    for doc in docs:
+        lanes.add(doc)
+    lanes.finish()
+    seen = np.concatenate(seen)
+    assert len(seen) == sum(map(len, docs))
+    assert math.isclose(seen.sum(), lm_scoring._model_scores(model, docs, 7).sum(), rel_tol=1e-5)
+
+
 def test_language_model_on_odd_rows(spark, odd_docs, no_docs):
     rows = lm_scoring.lm_scores(odd_docs).collect()
     assert len(rows) == odd_docs.count() and all(math.isfinite(r.score) for r in rows)
