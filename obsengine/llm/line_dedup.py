@@ -71,13 +71,18 @@ def within_one(a: list[bytes], b: list[bytes]) -> bool:
     return a[i + (len(a) == len(b)) :] == b[i + 1 :]
 
 
+def _kind(docs: DataFrame) -> str:
+    """Type of the place of a document."""
+    return docs.schema["doc"].dataType.simpleString()
+
+
 def _line_rows(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
     """One row per line with enough words: place, 128-bit key, whether its document had it before, half keys."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: dict[str, list] = {k: [] for k in ("doc", "line", "key", "again", "halves")}
-            for doc, text in zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True):
+            out: dict[str, list] = {k: [] for k in ("at", "line", "key", "again", "halves")}
+            for at, text in enumerate(batch.column(1).to_pylist()):
                 seen: set[bytes] = set()
                 for number, line in enumerate(text.lower().split(b"\n")):
                     found = line.split()
@@ -87,14 +92,14 @@ def _line_rows(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
                     again = key in seen
                     seen.add(key)
                     near = not again and len(found) >= near_words
-                    out["doc"].append(doc)
+                    out["at"].append(at)
                     out["line"].append(number)
                     out["key"].append(key)
                     out["again"].append(again)
                     out["halves"].append(_halves(word_hashes(found)) if near else [])
             yield pa.RecordBatch.from_pydict(
                 {
-                    "doc": pa.array(out["doc"], pa.int64()), "line": pa.array(out["line"], pa.int64()),
+                    "doc": batch.column(0).take(pa.array(out["at"], pa.int64())), "line": pa.array(out["line"], pa.int64()),
                     "key": pa.array(out["key"], pa.binary()), "again": pa.array(out["again"], pa.bool_()),
                     **{
                         f"h{i}": pa.array([h[i] if h else None for h in out["halves"]], pa.int64())
@@ -103,7 +108,7 @@ def _line_rows(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
                 }
             )
 
-    schema = "doc bigint, line bigint, key binary, again boolean, h0 bigint, h1 bigint, h2 bigint, h3 bigint"
+    schema = f"doc {_kind(docs)}, line bigint, key binary, again boolean, h0 bigint, h1 bigint, h2 bigint, h3 bigint"
     return docs.mapInArrow(rows, schema)
 
 
@@ -125,26 +130,23 @@ def _line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: dict[str, list] = {k: [] for k in ("key", "doc", "line", "body")}
-            for doc, text, at in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for doc, (text, at) in enumerate(zip(*(batch.column(i).to_pylist() for i in (1, 2)), strict=True)):
                 lines = text.lower().split(b"\n")
                 for number in at:
-                    if number < len(lines):
-                        body = b" ".join(lines[number].split())
-                        out["key"].append(xxhash.xxh3_128_digest(body))
-                        out["doc"].append(doc)
-                        out["line"].append(number)
-                        out["body"].append(body)
+                    body = b" ".join(lines[number].split())
+                    out["key"].append(xxhash.xxh3_128_digest(body))
+                    out["doc"].append(doc)
+                    out["line"].append(number)
+                    out["body"].append(body)
             yield pa.RecordBatch.from_pydict(
                 {
-                    "key": pa.array(out["key"], pa.binary()), "doc": pa.array(out["doc"], pa.int64()),
+                    "key": pa.array(out["key"], pa.binary()), "doc": batch.column(0).take(pa.array(out["doc"], pa.int64())),
                     "line": pa.array(out["line"], pa.int64()), "body": pa.array(out["body"], pa.binary()),
                 }
             )
 
     found = near.select("doc", "_bytes").join(places, "doc").select("doc", "_bytes", "at")
-    picked = found.mapInArrow(pick, "key binary, doc bigint, line bigint, body binary")
-    # Documents may share an id; only lines that were asked for stay, each once.
-    return picked.join(wanted, ["key", "doc", "line"], "left_semi").dropDuplicates(["key"])
+    return found.mapInArrow(pick, f"key binary, doc {_kind(docs)}, line bigint, body binary")
 
 
 def _near_drops(lines: DataFrame) -> DataFrame:
@@ -152,7 +154,7 @@ def _near_drops(lines: DataFrame) -> DataFrame:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, docs, numbers, bodies = (batch.column(i).to_pylist() for i in range(4))
+            bodies = batch.column(3).to_pylist()
             hashes = [variants(word_hashes(body.split())) for body in bodies]
             sizes = np.array([len(h) for h in hashes], np.int64)
             source = np.repeat(np.arange(len(hashes)), sizes)
@@ -161,14 +163,13 @@ def _near_drops(lines: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pydict(
                 {
                     "variant": pa.array(flat.view(np.int64)), "at": pa.array(at.astype(np.int64)),
-                    "doc": pa.array(np.array(docs, np.int64)[source] if docs else [], pa.int64()),
-                    "line": pa.array(np.array(numbers, np.int64)[source] if docs else [], pa.int64()),
-                    "key": pa.array([keys[i] for i in source], pa.binary()),
+                    "doc": batch.column(1).take(pa.array(source)), "line": batch.column(2).take(pa.array(source)),
+                    "key": batch.column(0).take(pa.array(source)),
                 }
             )
 
     emitted = lines.select("key", "doc", "line", "body").mapInArrow(
-        emit, "variant bigint, at bigint, doc bigint, line bigint, key binary"
+        emit, f"variant bigint, at bigint, doc {_kind(lines)}, line bigint, key binary"
     )
     place = F.struct("doc", "line", "key")
     rows = materialize(emitted.select("variant", "at", place.alias("me")), "variants")
@@ -194,7 +195,7 @@ def _near_drops(lines: DataFrame) -> DataFrame:
             places = batch.select([0, 1])
             yield places.take(pa.array(kept, pa.int64()))
 
-    return full.mapInArrow(verify, "doc bigint, line bigint").distinct()
+    return full.mapInArrow(verify, f"doc {_kind(lines)}, line bigint").distinct()
 
 
 def dedup_lines(
@@ -205,13 +206,18 @@ def dedup_lines(
     Lines with fewer than ``min_words`` words take no part and stay. n_lines
     counts those that take part; n_exact and n_near count dropped lines. Null
     texts stay null and empty ones empty; a document that loses all its lines
-    keeps its row. Rows with the same id are read as one place: equal lines at
-    the same number in them do not drop each other. Rows with a null id come
-    last in the order. Texts move between tasks only for documents that may
-    lose a line.
+    keeps its row. Where ids repeat or are null, rows are numbered and stored
+    first, and every row is a place of its own, in the order of id, then number;
+    rows with a null id come last. Texts move between tasks only for documents
+    that may lose a line.
     """
     order = F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST))
-    base = docs.select(order.alias("doc"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("_bytes"))
+    shown = docs.select(whole_row(docs), F.col(text).alias("_text"), order.alias("doc"))
+    ids = docs.groupBy(F.col(id_col).cast("long").alias("id")).count()
+    if not ids.filter("count > 1 OR id IS NULL").isEmpty():
+        number = F.struct(F.col("doc").alias("id"), F.monotonically_increasing_id().alias("number"))
+        shown = materialize(shown.withColumn("doc", number), "numbered")
+    base = shown.select("doc", F.coalesce("_text", F.lit("")).cast("binary").alias("_bytes"))
     lines = materialize(_line_rows(base, min_words, near_words), "lines")
     firsts = lines.filter(~F.col("again")).groupBy("key").agg(
         F.min("doc").alias("doc"), F.min_by("line", "doc").alias("line"),
@@ -236,7 +242,6 @@ def dedup_lines(
         "drops",
     )
 
-    shown = docs.select(whole_row(docs), F.col(text).alias("_text"), order.alias("doc"))
     marked = possibly(shown, F.col("doc"), bitmap(drops.select("doc"), "doc"))
     parts = F.split("_text", "\n")
     kept = F.filter(parts, lambda _, i: ~F.array_contains("_gone", i.cast("long")))

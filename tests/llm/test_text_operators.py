@@ -175,6 +175,22 @@ def test_line_dedup_on_odd_rows(spark, odd_docs):
     }
 
 
+def test_rows_without_an_id_of_their_own_are_places_of_their_own(spark):
+    """Equal lines at other or at the same number, exact and near, under null and repeated ids."""
+    long = "the quick brown fox jumps over the lazy dog again and again"
+    for key in (None, 7):
+        rows = [
+            (key, "p q r\nx y z"), (key, "x y z\nu v w"), (key, "x y z\nu v w"), (3, "a b c"),
+            (key, f"k l m\n{long}\no n e"), (key, f"t w o\n{long} now\na b c"), (key, None),
+        ]
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+        out = line_dedup.dedup_lines(docs).select("row.doc_id", "text", "n_lines", "n_exact", "n_near")
+        assert sorted(map(tuple, out.collect()), key=repr) == sorted([
+            (key, "p q r\nx y z", 2, 0, 0), (key, "u v w", 2, 1, 0), (key, "", 2, 2, 0), (3, "a b c", 1, 0, 0),
+            (key, f"k l m\n{long}\no n e", 3, 0, 0), (key, "t w o", 3, 1, 1), (key, None, 0, 0, 0),
+        ], key=repr)
+
+
 # Near copies
 
 
