@@ -17,16 +17,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from obsengine import constants as C
 from obsengine import fixtures, schemas
 from obsengine.functions import columns as fn
-from obsengine.operators import aggregates, joins, marts, metrics, models, rankings, splits
+from obsengine.operators import aggregates, joins, marts, metrics, models, quartiles, rankings, splits
 from obsengine.plans import reports
 from obsengine.plans.descriptive import descriptive_run, descriptive_tables
 from obsengine.plans.enrich import CITY_BAND, STATION_BAND, enrich
 from obsengine.plans.lookup import lookup
 from obsengine.plans.ml import ml_run
 from obsengine.session import scratch_path
-from obsengine.sources import catalog, jdbc, readers, writers
+from obsengine.sources import catalog, jdbc, profiles, readers, writers
 
 SEED = 7
 SUMMARY_FROM = 1998
@@ -229,7 +230,7 @@ def _sink(write: Callable[[DataFrame, str], None], read: Callable[[DataFrame, st
 def _as_result(fmt: str) -> Query:
     folder = {"parquet": "descriptive_analytics", "csv": "descriptive_analytics_csv"}[fmt]
     return _sink(
-        lambda df, path: writers.save_results({"days": df}, path, {"days": ("city", "date")}),
+        lambda df, path: writers.save_results({"days": df}, path, {"days": ("city", "date")}, single_file=False),
         lambda df, path: df.sparkSession.read.schema(df.schema)
         .option("header", True)
         .format(fmt)
@@ -237,6 +238,58 @@ def _as_result(fmt: str) -> Query:
     )
 
 
+def _late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observations of some days that arrive late: corrected ones, and those of a place not stored yet."""
+    late = _obs_daily(spark, sf_dir).filter((F.day("date") == 3) & (F.col("city") <= LOOKUP_CITY))
+    return late.withColumn("temp_max", F.col("temp_max") + 1)
+
+
+def _trusted_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trusted zone after late rows of some days and places were merged."""
+    path, inputs = scratch_path(spark, "trusted"), (_cities, _stations, _alerts)
+    places = [read(spark, sf_dir) for read in inputs]
+    early = _obs_daily(spark, sf_dir).filter((F.day("date") != 3) | (F.col("city") != LOOKUP_CITY))
+    writers.write_trusted(enrich(early, *places), path)
+    writers.merge_trusted(enrich(_late_rows(spark, sf_dir), *places), path)
+    return readers.read_trusted(spark, path)
+
+
+def _broken_batches(spark: SparkSession, sf_dir: str) -> str:
+    """Raw array files, one per place and year, some of whose records can't be read; returns their folder."""
+    raw = _as_raw(_obs_daily(spark, sf_dir), "2024-01-01T06:00:00")
+    text = F.to_json(F.struct(*raw.columns))
+    cut = F.expr("substr(text, 1, length(text) - 1)")  # without its last brace
+    wrong = F.regexp_replace("text", r'"temp_min":[^,]*', '"temp_min":"cold"')
+    day = F.day(F.col("date").cast("date"))
+    broken = F.when(day == 5, cut).when(day == 6, wrong).when(day == 7, F.lit("{no record}")).otherwise(F.col("text"))
+    # One array per file: a place and year has a few hundred days.
+    lists = (
+        raw.withColumn("text", text).withColumn("text", broken)
+        .groupBy(F.col("city").alias("place"), F.substr("date", F.lit(1), F.lit(4)).alias("year"))
+        .agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("text"), ",\n"), F.lit("\n]\n")).alias("value"))
+    )
+    root = scratch_path(spark, "raw")
+    lists.write.partitionBy("place", "year").text(root)
+    return root
+
+
+def _quarantined_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good rows, and the records that could not be read, by what is left of them."""
+    root = f"{_broken_batches(spark, sf_dir)}/*/*"
+    good = readers.read_observations(spark, root).select(
+        "city", "date", "temp_min", F.lit(None).cast("string").alias("problem")
+    )
+    bad = readers.quarantined_observations(spark, root)
+    part = lambda name: F.nullif(F.regexp_extract("record", f'"{name}":"([^"]*)"', 1), F.lit(""))
+    problem = (
+        F.when(F.col("record").contains('"cold"'), "type")
+        .when(F.col("record").contains("no record"), "no object").otherwise("cut")
+    )
+    return good.union(
+        bad.select(part("city"), part("date").cast("date"), F.lit(None).cast("double"), problem)
+    )
+
+
 # Published results
 
 
@@ -252,6 +305,22 @@ def _republished(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(spark.table(f"{database}.{name}"))
 
 
+def _versioned_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last of three versions below one folder, the earlier ones dropped; also of an undeclared table."""
+    root, database = scratch_path(spark, "published"), f"results_{uuid.uuid4().hex}"
+    catalog.ensure_database(spark, database, f"{root}/database")
+    rows = marts.city_temperature_stats(_obs_daily(spark, sf_dir))
+    for stage in (rows.filter(F.col("month") <= 6), rows.limit(0), rows):
+        catalog.publish(spark, stage, database, "city_temperature_stats", f"{root}/stats")
+    dropped = len(catalog.drop_versions(spark, database, "city_temperature_stats"))
+    rain = rows.groupBy("city").agg(F.sum("days_with_rain").alias("rainy"))
+    for stage in (rain.select("city"), rain):  # the columns change
+        catalog.publish(spark, stage, database, "rain", f"{root}/rain")
+    stats = spark.table(f"{database}.city_temperature_stats")
+    joined = stats.join(spark.table(f"{database}.rain"), "city")
+    return _rounded(joined.withColumn("dropped", F.lit(dropped).cast("long")))
+
+
 def _published(spark: SparkSession, sf_dir: str, *tables: str) -> str:
     """Register result tables of the daily observations in a fresh database."""
     build = {
@@ -284,6 +353,18 @@ def _lookup(dataset: str, table: str, period: bool = True) -> Query:
     return run
 
 
+# Profiles
+
+
+def _grown_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A profile of three batches that share months."""
+    path, rows, day = scratch_path(spark, "profile"), _obs_point(spark, sf_dir), F.day("date")
+    parts = {"1": day <= 9, "2": (day > 9) & (day <= 20), "3": day > 20}
+    for batch, chosen in parts.items():
+        profiles.add_to_profile(rows.filter(chosen), path, batch)
+    return profiles.read_profile(spark, path)
+
+
 # Models
 
 
@@ -322,6 +403,21 @@ def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _folded_model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the temperature model fits and scores: distinct rows, their weights and sides."""
+    rows = fn.fill_zero(_model_rows(spark, sf_dir), ("altitude", "population"))
+    names = ("temp_min", "precipitation", "day_of_year", "altitude", "population", "temp_max", *models.ROW_KEYS)
+    folded = models.folded_rows(rows, names)
+    return _longs(folded.withColumn("training", splits.in_training(models.ROW_KEYS)))
+
+
+def _weighted_scaling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deviations over the folded rows, which are those of all rows."""
+    folded = models.folded_rows(_model_rows(spark, sf_dir), C.CLUSTER_FEATURES)
+    spread = models.weighted_deviations(folded, C.CLUSTER_FEATURES)
+    return _rounded(folded.agg(F.sum("weight").alias("n"), *(F.lit(v).alias(k) for k, v in spread.items())))
+
+
 def _temperature_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.temperature_model(_model_rows(spark, sf_dir), SEED).rows
 
@@ -395,14 +491,18 @@ def _precipitation_test_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _extra(what: str) -> dict:
-    """Queries or SQL of the optional parts, if their files are there at all."""
+    """Queries or SQL of the optional parts, as far as they are there.
+
+    The pipeline needs the operators: without them it is left out too.
+    """
     found: dict = {}
+    try:
+        if importlib.util.find_spec("obsengine.llm.queries") is None:
+            return found
+    except ModuleNotFoundError:
+        return found
     for name in ("obsengine.llm.queries", "corpus_pipeline"):
-        try:
-            there = importlib.util.find_spec(name) is not None
-        except ModuleNotFoundError:
-            there = False
-        if there:
+        if importlib.util.find_spec(name) is not None:
             found |= getattr(importlib.import_module(name), what)
     return found
 
@@ -435,6 +535,8 @@ def queries() -> dict[str, Query]:
         "sink_json": _sink(
             writers.write_json, lambda df, path: df.sparkSession.read.schema(df.schema).json(path)
         ),
+        "trusted_merge": _trusted_merge,
+        "quarantined_observations": _quarantined_observations,
         "result_parquet": _as_result("parquet"),
         "result_csv": _as_result("csv"),
         "events_since": over(_historical, lambda df: jdbc.events_since(df, date(2024, 1, 10))),
@@ -514,6 +616,11 @@ def queries() -> dict[str, Query]:
             lambda df: aggregates.humidity_analysis(df, humidity="pressure"),
             _rounded,
         ),
+        "exact_quartiles": over(
+            _obs_point, lambda df: quartiles.exact_quartiles(df, humidity="pressure"), _rounded
+        ),
+        "incremental_profile": over(_grown_profile, aggregates.summary_from_profile, _rounded),
+        "incremental_trends": over(_grown_profile, aggregates.trends_from_profile, _rounded, _longs),
         "trusted_city_rankings": over(
             _enriched,
             lambda df: descriptive_tables(df, city="city_name", temperature="temp_avg")[
@@ -528,6 +635,7 @@ def queries() -> dict[str, Query]:
         "extreme_events": over(_obs_daily, marts.extreme_events, _rounded),
         "weather_summary": _summary_view,
         "republished_stats": _republished,
+        "versioned_publish": _versioned_publish,
         "quality_report": over(_enriched, reports.quality_report, _rounded),
         "execution_summary": over(
             _obs_point,
@@ -545,6 +653,8 @@ def queries() -> dict[str, Query]:
         "regression_metrics": _regression_metrics,
         "classification_metrics": _classification_metrics,
         "scaled_features": _scaled_features,
+        "folded_model_rows": _folded_model_rows,
+        "weighted_scaling": _weighted_scaling,
         "temperature_test_rows": _temperature_test_rows,
         "precipitation_test_rows": _precipitation_test_rows,
         "prediction_error": over(
@@ -589,6 +699,9 @@ _ENRICHED = f"""{_FACTS}, {_PLACES}, {_SITES}, {_RULES}, enriched AS (
   LEFT JOIN places ON abs(lat - city_lat) < 0.1 AND abs(lon - city_lon) < 0.1
   LEFT JOIN sites ON abs(lat - station_lat) < 0.1 AND abs(lon - station_lon) < 0.1
   LEFT JOIN rules ON city_name = alert_city)"""
+_LATE = f"""FROM (
+  SELECT * REPLACE (CASE WHEN day(date) = 3 AND city <= '{LOOKUP_CITY}' THEN temp_max + 1 ELSE temp_max END
+                    AS temp_max) FROM obs_daily)"""
 _GAPPY = """gappy AS (
   SELECT city, latitude, longitude, date, NULLIF(temp_max, 50) AS temp_max, temp_min,
          NULLIF(precipitation, 0) AS precipitation, windspeed_max,
@@ -704,6 +817,15 @@ ranked AS (
          CAST(NULL AS DOUBLE) AS avg_humidity, CAST(NULL AS BIGINT) AS humidity_rank FROM means)
 SELECT * FROM ranked WHERE city IS NOT NULL""",
     "republished_stats": f"WITH {_STATS} SELECT * FROM stats",
+    "versioned_publish": f"""WITH {_STATS}
+SELECT *, CAST(sum(days_with_rain) OVER (PARTITION BY city) AS BIGINT) AS rainy, CAST(2 AS BIGINT) AS dropped
+FROM stats""",
+    "trusted_merge": f"""WITH {_ENRICHED.replace("FROM obs_daily)", _LATE + ")", 1)} SELECT * FROM enriched""",
+    "quarantined_observations": """SELECT CASE WHEN day(date) = 7 THEN NULL ELSE city END AS city,
+       CASE WHEN day(date) = 7 THEN NULL ELSE date END AS date,
+       CASE WHEN day(date) BETWEEN 5 AND 7 THEN NULL ELSE temp_min END AS temp_min,
+       CASE day(date) WHEN 5 THEN 'cut' WHEN 6 THEN 'type' WHEN 7 THEN 'no object' END AS problem
+FROM obs_daily""",
     "lookup_ml_predictions": f"""WITH {_PREDICTED} SELECT * FROM predicted WHERE {_AT_CITY}
   AND prediction_date BETWEEN DATE '{LOOKUP_START}' AND DATE '{LOOKUP_END}'""",
     "fixed_ml_predictions": f"WITH {_PREDICTED} SELECT * FROM predicted",
@@ -712,6 +834,15 @@ SELECT * FROM ranked WHERE city IS NOT NULL""",
        round(temp_min / stddev_samp(temp_min) OVER (), 6) + 0 AS scaled_temp_min,
        round(precipitation / stddev_samp(precipitation) OVER (), 6) + 0 AS scaled_precipitation
 FROM obs_daily""",
+    "folded_model_rows": f"""{_MODEL_ROWS}
+SELECT temp_min, precipitation, dayofyear(date) AS day_of_year, coalesce(altitude, 0) AS altitude,
+       CAST(coalesce(population, 0) AS BIGINT) AS population, temp_max, city_name, date,
+       count(*) AS weight, NOT held_out AS training
+FROM model_rows GROUP BY ALL""",
+    "weighted_scaling": f"""{_MODEL_ROWS}
+SELECT count(*) AS n, round(stddev_samp((temp_max + temp_min) / 2), 6) AS temp_avg,
+       round(stddev_samp(temp_max - temp_min), 6) AS temp_range,
+       round(stddev_samp(precipitation), 6) AS precipitation FROM model_rows""",
     "temperature_test_rows": f"""{_MODEL_ROWS}
 SELECT city_name, date, temp_max FROM model_rows WHERE held_out""",
     "precipitation_test_rows": f"""{_MODEL_ROWS}
@@ -867,6 +998,11 @@ FROM ({_CLASSIFICATION}) y""",
 }
 
 
+_SQL["exact_quartiles"] = _SQL["pressure_quartiles"]
+_SQL["incremental_profile"] = _SQL["summary_statistics"]
+_SQL["incremental_trends"] = _SQL["monthly_temperature_trends"]
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL text per query; model outputs and other unstable results have none."""
     return {name: fixtures.with_views(query) for name, query in _SQL.items()} | _extra("SQL")

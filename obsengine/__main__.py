@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from obsengine import schemas
 from obsengine.plans import descriptive, etl, ml, publish
 from obsengine.session import build_session
-from obsengine.sources import jdbc, readers, writers
+from obsengine.sources import catalog, jdbc, profiles, readers, writers
 
 # Input of the enrichment -> its schema and its usual table name.
 DIMENSIONS = {
@@ -35,7 +35,14 @@ def run_etl(spark: SparkSession, args: argparse.Namespace) -> dict:
     if args.latest:
         observations = readers.latest_observations(observations)
     dimensions = (_dimension(spark, name, args) for name in DIMENSIONS)
-    return etl.run_etl(observations, *dimensions, args.output)
+    if args.merge:
+        report = etl.merge_etl(observations, *dimensions, args.output)
+    else:
+        report = etl.run_etl(observations, *dimensions, args.output)
+    if args.quarantine:
+        bad = readers.quarantined_observations(spark, args.observations, multi_line=not args.lines)
+        report["quarantined_records"] = writers.write_quarantine(bad, args.quarantine)
+    return report
 
 
 def run_ingest(spark: SparkSession, args: argparse.Namespace) -> dict:
@@ -69,9 +76,18 @@ def run_publish(spark: SparkSession, args: argparse.Namespace) -> dict:
     names = publish.publish_results(
         spark, readers.read_trusted(spark, args.input), args.database, args.output, predictions
     )
+    if args.drop_old:
+        for name in names[:-1]:  # the last one is a view
+            catalog.drop_versions(spark, args.database, name)
     return {"status": "success", "tables": names}
 
 
+def run_profile(spark: SparkSession, args: argparse.Namespace) -> dict:
+    rows = readers.read_non_empty(spark, args.input)
+    profiles.add_to_profile(rows, args.output, args.stamp, city=args.city, temperature=args.temperature)
+    return {"status": "success", "months": profiles.read_profile(spark, args.output).count()}
+
+
 def parser() -> argparse.ArgumentParser:
     root = argparse.ArgumentParser(prog="obsengine", description=__doc__)
     stages = root.add_subparsers(required=True, metavar="stage")
@@ -95,6 +111,8 @@ def parser() -> argparse.ArgumentParser:
     command.add_argument("--observations", required=True, help="raw JSON files")
     command.add_argument("--lines", action="store_true", help="one JSON object per line")
     command.add_argument("--latest", action="store_true", help="keep the latest of repeated days")
+    command.add_argument("--merge", action="store_true", help="replace only the places and days that were read")
+    command.add_argument("--quarantine", help="folder for the records that can't be read")
     source = command.add_mutually_exclusive_group(required=True)
     source.add_argument("--jdbc-url", help="database; credentials from OBSENGINE_DB_* variables")
     source.add_argument("--exports", help="folder of CSV snapshots; needs --stamp")
@@ -105,6 +123,12 @@ def parser() -> argparse.ArgumentParser:
     command.add_argument("--city", default="city_name")
     command.add_argument("--temperature", default="temp_avg")
 
+    command = stage("profile", run_profile, "a batch of rows added to the stored monthly profile")
+    command.add_argument("--input", required=True)
+    command.add_argument("--stamp", required=True, help="name of the batch")
+    command.add_argument("--city", default="city_name")
+    command.add_argument("--temperature", default="temp_avg")
+
     command = stage("ml", run_ml, "models and their summary")
     command.add_argument("--input", required=True)
     command.add_argument("--seed", type=int, required=True)
@@ -113,6 +137,7 @@ def parser() -> argparse.ArgumentParser:
     command.add_argument("--input", required=True)
     command.add_argument("--database", required=True)
     command.add_argument("--predictions", help="scored rows of the temperature model")
+    command.add_argument("--drop-old", action="store_true", help="delete the versions published before")
     return root
 
 

@@ -1,11 +1,14 @@
 """Forest regression and classification, and clustering, on MLlib.
 
-Training reads its rows several times, so the model columns are stored once as
-a scratch table of even parts. Seeds are required: the
-library's default seeds differ between processes.
+Enrichment repeats a day once per station and alert, and most copies are equal
+in all that a model reads. They are folded to one row with a weight, which
+scaling, fitting and scoring use; only scored rows are expanded again. Training
+reads its rows several times, so they are stored once as a scratch table of
+even parts. Seeds are required: the library's default seeds differ between
+processes.
 """
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -14,14 +17,14 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsengine import constants as C
 from obsengine.functions import columns as fn
 from obsengine.operators.joins import measured_bytes
 from obsengine.operators.metrics import classification_metrics, regression_metrics
-from obsengine.operators.splits import hash_split
+from obsengine.operators.splits import in_training
 from obsengine.session import materialize, scratch_path
 
 ROW_KEYS = ("city_name", "date")
@@ -29,6 +32,9 @@ ROW_KEYS = ("city_name", "date")
 # Bytes of rows that one part of the stored model rows holds at most.
 PART_BYTES = 128 * 1024 * 1024
 
+# Copies of a folded row that are made at once.
+_COPIES = 10_000
+
 
 class ModelResult(NamedTuple):
     """Scored rows and a one-row frame of metrics."""
@@ -48,13 +54,57 @@ def prepare_ml(df: DataFrame) -> DataFrame:
     )
 
 
-def _stored(df: DataFrame, names: Sequence[str], label: str) -> DataFrame:
-    chosen = df.select(*dict.fromkeys(names))
-    # Even parts of a bounded size whatever the place, and a fixed order within
-    # them: forests sample by part and position.
+def folded_rows(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Distinct rows of the named columns, with ``weight``: how many rows of ``df`` each stands for.
+
+    Nulls are equal to nulls. Copies fold within tasks before they move, so a
+    row that is repeated very often costs no task more than a few rows.
+    """
+    return df.groupBy(*dict.fromkeys(names)).agg(F.count(F.lit(1)).alias("weight"))
+
+
+def unfolded(df: DataFrame) -> DataFrame:
+    """Each row ``weight`` times, without that column: the inverse of :func:`folded_rows`.
+
+    Copies are made in blocks, so a large weight needs no large array.
+    """
+    last = F.call_function("div", F.col("weight") - 1, F.lit(_COPIES))
+    blocks = df.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    size = F.least(F.lit(_COPIES), F.col("weight") - F.col("_block") * _COPIES).cast("int")
+    copies = blocks.withColumn("_copy", F.explode(F.array_repeat(F.lit(True), size)))
+    return copies.drop("weight", "_block", "_copy")
+
+
+def _stored(df: DataFrame, names: Sequence[str], label: str, training: Column | None = None) -> DataFrame:
+    """Folded rows in even parts of a bounded size, whether they are in the training share stored as ``_train``."""
+    folded = folded_rows(df, names)
+    if training is not None:
+        folded = folded.withColumn("_train", training)
+    folded = materialize(folded, f"{label}-folded")
+    # A fixed order within parts: forests sample by part and position.
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(parts, -(-measured_bytes(chosen) // PART_BYTES))
-    return materialize(chosen.repartition(parts).sortWithinPartitions(*chosen.columns), label)
+    parts = max(parts, -(-measured_bytes(folded) // PART_BYTES))
+    return materialize(folded.repartition(parts, *folded.columns).sortWithinPartitions(*folded.columns), label)
+
+
+def weighted_deviations(df: DataFrame, names: Sequence[str], weight: str = "weight") -> dict[str, float | None]:
+    """Sample deviation of each column over the rows that ``df`` stands for; null below two rows.
+
+    Deviations are summed around the means, so large values do not cancel.
+    """
+    w = F.col(weight)
+    known = {n: F.when(F.col(n).isNotNull(), w) for n in names}
+    means = df.agg(*(F.try_divide(F.sum(F.col(n) * w), F.sum(known[n])).alias(n) for n in names)).first()
+    squares = {n: F.pow(F.col(n) - F.lit(means[n]).cast("double"), F.lit(2.0)) * w for n in names}
+    spread = {n: F.try_divide(F.sum(squares[n]), F.when(F.sum(known[n]) > 1, F.sum(known[n]) - 1)) for n in names}
+    return df.agg(*(F.sqrt(spread[n]).alias(n) for n in names)).first().asDict()
+
+
+def with_scaled(df: DataFrame, deviations: Mapping[str, float | None]) -> DataFrame:
+    """Add the vector ``scaled_features``: each feature divided by its deviation, or 0 if that is 0 or unknown."""
+    parts = {f"_scaled_{n}": F.col(n) * (1 / d if d else 0.0) for n, d in deviations.items()}
+    assembler = VectorAssembler(inputCols=list(parts), outputCol="scaled_features")
+    return assembler.transform(df.withColumns(parts)).drop(*parts)
 
 
 def _pipeline(features: Sequence[str], estimator) -> Pipeline:
@@ -70,14 +120,26 @@ def scale_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return scaled.withColumn("scaled_features", vector_to_array("scaled_features"))
 
 
-def _without_summary(model: PipelineModel, df: DataFrame) -> PipelineModel:
+def _without_summary(model, df: DataFrame) -> PipelineModel:
     # A forest classifier's training summary holds the session, which cannot be
     # sent to tasks once the session has observed a write. A loaded model has none.
     path = scratch_path(df.sparkSession, "classifier")
-    model.save(path)
+    PipelineModel([model]).save(path)
     return PipelineModel.load(path)
 
 
+def _sides(df: DataFrame, names: Sequence[str], label: str, split_seed: int) -> tuple[DataFrame, DataFrame]:
+    """Scaled training and test rows, folded; deviations are those of the training rows.
+
+    ``names`` are the features and, as the last name, the label.
+    """
+    training = in_training(ROW_KEYS, seed=split_seed)
+    stored = _stored(df, [*names, *ROW_KEYS], label, training)
+    train = stored.filter("_train")
+    deviations = weighted_deviations(train, names[:-1])
+    return with_scaled(train, deviations), with_scaled(stored.filter("NOT _train"), deviations)
+
+
 def temperature_model(
     df: DataFrame,
     seed: int,
@@ -89,20 +151,17 @@ def temperature_model(
     """Forest regression of ``temp_max``; scored test rows with their absolute ``error``.
 
     Features that ``df`` lacks are left out; missing altitude and population
-    count as zero.
+    count as zero. Equal rows are fitted and scored once, by weight.
     """
     names = fn.available(df, features)
     rows = fn.fill_zero(df.filter(F.col("temp_max").isNotNull()), ("altitude", "population"))
-    train, test = hash_split(
-        _stored(rows, [*names, "temp_max", *ROW_KEYS], "temperature-rows"),
-        ROW_KEYS,
-        seed=split_seed,
-    )
+    train, test = _sides(rows, [*names, "temp_max"], "temperature-rows", split_seed)
     forest = RandomForestRegressor(
-        featuresCol="scaled_features", labelCol="temp_max", numTrees=trees, maxDepth=depth, seed=seed
+        featuresCol="scaled_features", labelCol="temp_max", weightCol="weight", numTrees=trees, maxDepth=depth, seed=seed
     )
-    scored = _pipeline(names, forest).fit(train).transform(test)
-    scored = fn.with_error(scored.select("temp_max", "prediction", *ROW_KEYS), "temp_max")
+    scored = forest.fit(train).transform(test)
+    scored = unfolded(scored.select("temp_max", "prediction", *ROW_KEYS, "weight"))
+    scored = fn.with_error(scored, "temp_max")
     return ModelResult(scored, regression_metrics(scored))
 
 
@@ -114,24 +173,24 @@ def precipitation_model(
     trees: int = C.FOREST_TREES,
     depth: int = C.FOREST_DEPTH,
 ) -> ModelResult:
-    """Forest classification of rainy days; scored test rows with class probabilities."""
+    """Forest classification of rainy days; scored test rows with class probabilities.
+
+    Equal rows are fitted and scored once, by weight.
+    """
     names = fn.available(df, features)
     rows = fn.with_precip_class(df).filter(F.col("precip_class").isNotNull())
-    train, test = hash_split(
-        _stored(rows, [*names, "precip_class", *ROW_KEYS], "precipitation-rows"),
-        ROW_KEYS,
-        seed=split_seed,
-    )
+    train, test = _sides(rows, [*names, "precip_class"], "precipitation-rows", split_seed)
     forest = RandomForestClassifier(
         featuresCol="scaled_features",
         labelCol="precip_class",
+        weightCol="weight",
         numTrees=trees,
         maxDepth=depth,
         seed=seed,
     )
-    model = _without_summary(_pipeline(names, forest).fit(train), train)
-    scored = model.transform(test).select(
-        "precip_class", "prediction", vector_to_array("probability").alias("probability")
+    scored = _without_summary(forest.fit(train), train).transform(test)
+    scored = unfolded(
+        scored.select("precip_class", "prediction", vector_to_array("probability").alias("probability"), "weight")
     )
     return ModelResult(scored, classification_metrics(scored))
 
@@ -142,18 +201,23 @@ def weather_clusters(
     k: int = C.CLUSTERS,
     features: Sequence[str] = C.CLUSTER_FEATURES,
 ) -> ModelResult:
-    """k-means of the days' temperature and rain; every row with its ``cluster``."""
+    """k-means of the days' temperature and rain; every row with its ``cluster``.
+
+    Equal rows take part once, by weight, in the scaling and in every step of
+    the search.
+    """
     known = df.filter(F.col("temp_avg").isNotNull() & F.col("precipitation").isNotNull())
     rows = _stored(known, [*features, *ROW_KEYS], "cluster-rows")
-    kmeans = KMeans(k=k, featuresCol="scaled_features", predictionCol="cluster", seed=seed)
-    scored = (
-        _pipeline(features, kmeans)
-        .fit(rows)
-        .transform(rows)
-        .withColumns(
-            {name: vector_to_array(name) for name in ("features", "scaled_features")}
-        )
+    scaled = with_scaled(rows, weighted_deviations(rows, features))
+    kmeans = KMeans(
+        k=k, featuresCol="scaled_features", predictionCol="cluster", weightCol="weight", seed=seed
     )
+    scored = unfolded(
+        kmeans.fit(scaled).transform(scaled).withColumns({
+            "features": F.array(*(F.col(n).cast("double") for n in features)),
+            "scaled_features": vector_to_array("scaled_features"),
+        })
+    )
     metrics = scored.agg(
         F.lit(k).cast("long").alias("clusters_count"), F.count(F.lit(1)).alias("total_records")
     )

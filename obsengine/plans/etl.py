@@ -1,11 +1,13 @@
 """Raw inputs to trusted rows."""
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from obsengine.plans.enrich import enrich
 from obsengine.plans.reports import quality_counts
-from obsengine.sources.writers import write_trusted
+from obsengine.sources.writers import merge_trusted, write_trusted
 
 
 def run_etl(
@@ -20,10 +22,30 @@ def run_etl(
 
     The counts are observed while the rows are written: the plan runs once.
     """
+    return _reported(write_trusted, enrich(observations, cities, stations, alerts, **options), path)
+
+
+def merge_etl(
+    observations: DataFrame,
+    cities: DataFrame,
+    stations: DataFrame,
+    alerts: DataFrame,
+    path: str,
+    **options,
+) -> dict[str, float | int | str | None]:
+    """Enrich late or corrected observations and merge them into the trusted zone.
+
+    The report counts the merged rows, not those that were there before.
+    """
+    return _reported(merge_trusted, enrich(observations, cities, stations, alerts, **options), path)
+
+
+def _reported(
+    write: Callable[[DataFrame, str], None], trusted: DataFrame, path: str
+) -> dict[str, float | int | str | None]:
     quality = Observation("quality")
-    trusted = enrich(observations, cities, stations, alerts, **options)
     undated = F.count_if(F.col("date").isNull()).alias("undated_records")
-    write_trusted(trusted.observe(quality, *quality_counts(), undated), path)
+    write(trusted.observe(quality, *quality_counts(), undated), path)
     total, valid = quality.get["total_records"], quality.get["valid_records"]
     return {
         "status": "success",

@@ -1,5 +1,7 @@
 """Catalog: databases, result tables and the summary view."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -27,14 +29,22 @@ def declared_schema(name: str) -> T.StructType:
 
 
 def register_table(
-    spark: SparkSession, database: str, name: str, location: str, fmt: str = "parquet"
+    spark: SparkSession,
+    database: str,
+    name: str,
+    location: str,
+    fmt: str = "parquet",
+    schema: T.StructType | None = None,
 ) -> DataFrame:
-    """Register a result location as a table, unless it exists, and return the table."""
+    """Register a result location as a table, unless it exists, and return the table.
+
+    Its columns are those of ``schema``, or else the declared ones.
+    """
     if not fmt.isidentifier():
         raise ValueError(f"not a format name: {fmt!r}")
     columns = ", ".join(
         f"{_quoted(field.name)} {field.dataType.simpleString()}"
-        for field in declared_schema(name).fields
+        for field in (schema or declared_schema(name)).fields
     )
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {_quoted(database, name)} ({columns}) "
@@ -43,25 +53,60 @@ def register_table(
     return spark.table(_quoted(database, name))
 
 
+def _columns(schema: T.StructType) -> list[tuple[str, str]]:
+    return [(field.name, field.dataType.simpleString()) for field in schema.fields]
+
+
 def publish(
     spark: SparkSession, df: DataFrame, database: str, name: str, location: str
 ) -> DataFrame:
-    """Write a result table and register it there, sorted so that a place is easy to find.
-
-    Files hold separate ranges of places, so a lookup by city skips most of them.
-    A table that is registered already moves to ``location``, and what the
-    session remembers of its files is forgotten: readers get the rows of ``df``.
+    """Write a new version of a result table and switch its readers to it.
+
+    A version is a folder of its own below ``location``, sorted so that files
+    hold separate ranges of places and a lookup by city skips most of them. The
+    table moves to the version only when it is written whole: a write that
+    fails leaves the rows published before, and running readers keep their
+    files until :func:`drop_versions`. A table whose name is not a declared one
+    has the columns of ``df``; if they change it is registered anew.
     """
     keys = [c for c in ("city", "year", "month", "event_date", "prediction_date") if c in df.columns]
     rows = df.sort(*keys) if keys else df
-    rows.write.mode("overwrite").parquet(location)
-    register_table(spark, database, name, location)
+    version = f"{location.rstrip('/')}/v-{uuid.uuid4().hex}"
+    rows.write.mode("error").parquet(version)
     table = _quoted(database, name)
-    spark.sql(f"ALTER TABLE {table} SET LOCATION {_text(location)}")
+    schema = RESULT_TABLES.get(name, df.schema)
+    if spark.catalog.tableExists(table) and _columns(spark.table(table).schema) != _columns(schema):
+        spark.sql(f"DROP TABLE {table}")
+    register_table(spark, database, name, version, schema=schema)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION {_text(version)}")
     spark.sql(f"REFRESH TABLE {table}")
     return spark.table(table)
 
 
+def current_location(spark: SparkSession, database: str, name: str) -> str:
+    """The folder that a registered table reads."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(database, name)}")
+    return described.filter("col_name = 'Location'").first().data_type
+
+
+def drop_versions(spark: SparkSession, database: str, name: str, keep: int = 0) -> list[str]:
+    """Delete the versions beside the published one but the ``keep`` youngest; returns the deleted folders.
+
+    Call it when no reader of an earlier version is left. The published version
+    is never deleted, nor is anything that is no version.
+    """
+    new_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    current = new_path(current_location(spark, database, name))
+    files = current.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    beside = files.listStatus(current.getParent())
+    others = [f for f in beside if f.getPath().getName().startswith("v-") and f.getPath().getName() != current.getName()]
+    others.sort(key=lambda f: (f.getModificationTime(), f.getPath().getName()), reverse=True)
+    gone = [f.getPath() for f in others[keep:]]
+    for path in gone:
+        files.delete(path, True)
+    return [str(path.toString()) for path in gone]
+
+
 def create_weather_summary(
     spark: SparkSession, database: str, from_year: int = C.SUMMARY_FROM_YEAR
 ) -> DataFrame:

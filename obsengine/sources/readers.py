@@ -4,9 +4,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from obsengine import schemas
 
+# Observations with the text of a record that can't be read as one.
+_WITH_TEXT = T.StructType([*schemas.RAW_OBSERVATION.fields, T.StructField("_malformed", T.StringType())])
+
 MEASURES = ("temp_max", "temp_min", "precipitation", "windspeed_max")
 
 
@@ -20,15 +24,51 @@ def _typed_times(df: DataFrame) -> DataFrame:
     )
 
 
+# Between two elements of an array of flat objects: a comma after or before a brace.
+_BETWEEN = r"(?<=\})\s*,\s*|\s*,\s*(?=\{)"
+
+
+def _elements(text: Column) -> Column:
+    """The elements of a JSON array as texts, however broken single ones are.
+
+    A valid array is taken apart by the parser. Otherwise it is cut between
+    objects, so that a broken one is a text of its own; a single object is an
+    array of one.
+    """
+    bare = F.regexp_replace(F.regexp_replace(text, r"^\s*\[", ""), r"\]\s*$", "")
+    valid = F.json_array_length(text).isNotNull()
+    return F.when(valid, F.from_json(text, "array<string>")).otherwise(F.split(bare, _BETWEEN))
+
+
+def _checked(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    """(file, record, observation, good): every record of the raw files with its text."""
+    text = spark.read.text(path, wholetext=multi_line)
+    file, value = F.col("_metadata.file_path").alias("file"), F.col("value")
+    records = text.select(file, F.explode(_elements(value)) if multi_line else value).toDF("file", "record")
+    parsed = F.from_json("record", _WITH_TEXT, {"columnNameOfCorruptRecord": "_malformed"})
+    good = F.col("observation._malformed").isNull() & F.col("record").rlike(r"^\s*\{")
+    return (
+        records.filter(F.col("record").isNull() | F.col("record").rlike(r"\S"))
+        .withColumn("observation", parsed)
+        .withColumn("good", F.coalesce(good, F.lit(False)))
+    )
+
+
 def read_observations(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Raw JSON observation batches under a path or glob.
+    """Well-formed raw JSON observations under a path or glob.
 
     ``multi_line`` reads files that hold one JSON array each, one task per
     file. Pass ``False`` for one object per line, which splits within files.
+    A record that is no object or has a value of another type is left out and
+    costs no other record; :func:`quarantined_observations` returns it.
     """
-    return _typed_times(
-        spark.read.schema(schemas.RAW_OBSERVATION).option("multiLine", multi_line).json(path)
-    )
+    checked = _checked(spark, path, multi_line).filter("good")
+    return _typed_times(checked.select(*(F.col("observation")[c].alias(c) for c in schemas.RAW_OBSERVATION.names)))
+
+
+def quarantined_observations(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """(file, record): the texts of the malformed records, which :func:`read_observations` leaves out."""
+    return _checked(spark, path, multi_line).filter("NOT good").select("file", "record")
 
 
 def read_payloads(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:

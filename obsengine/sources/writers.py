@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from obsengine.session import materialize
+from obsengine.sources.readers import read_trusted
+
 
 def write_trusted(df: DataFrame, path: str, replace_all: bool = True) -> None:
     """Overwrite Parquet partitioned by ``date``.
@@ -25,6 +27,31 @@ def write_trusted(df: DataFrame, path: str, replace_all: bool = True) -> None:
     writer.parquet(path)
 
 
+def merge_trusted(df: DataFrame, path: str, keys: Sequence[str] = ("weather_city", "date")) -> None:
+    """Merge late trusted rows: they replace all stored rows of the same place and day.
+
+    Only the dates of ``df`` are read and rewritten; the files of other dates
+    stay as they are, and so do other places of the same dates. Rows with a
+    null in their key replace nothing and are added. Repeated days of one batch
+    are folded before enrichment, by ``latest_observations``. The merged rows
+    are stored before the first stored date is replaced, so a run that fails
+    can be repeated; without rows nothing changes.
+    """
+    spark = df.sparkSession
+    late = materialize(df, "late-rows")
+    # As many as there are days in the calendar of the batch.
+    dates = [row.date for row in late.select("date").distinct().collect()]
+    if not dates:
+        return
+    touched = F.col("date").isin([d for d in dates if d is not None])
+    if None in dates:
+        touched = touched | F.col("date").isNull()
+    stored = read_trusted(spark, path).filter(touched)
+    kept = stored.join(late.select(*keys).distinct(), list(keys), "left_anti")
+    merged = materialize(kept.select(*late.columns).union(late), "merged-rows")
+    write_trusted(merged, path, replace_all=False)
+
+
 def write_parquet(df: DataFrame, path: str) -> None:
     """Overwrite plain Parquet, in as many files as ``df`` has partitions."""
     df.write.mode("overwrite").parquet(path)
@@ -35,6 +62,13 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def write_quarantine(records: DataFrame, path: str) -> int:
+    """Write malformed records with their files as JSON lines; returns how many there are."""
+    seen = Observation()
+    records.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").json(path)
+    return seen.get["n"]
+
+
 def land_batch(df: DataFrame, root: str, batch_id: str) -> str:
     """Write one raw batch, one object per line, under its own folder; returns the folder.
 
