@@ -15,13 +15,21 @@ evaluated once per cell of counts and weighted by the number of terms in it:
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from obsengine.llm.common import field
 from obsengine.session import materialize
 
-SEPARATORS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: Terms of texts as bytes in lower case: no byte of a longer character is below 0x80.
+_TERMS = re.compile(rb"[a-z\x80-\xff]+").findall
+#: Terms that a task holds before it hands them on.
+HELD = 1_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SCALE = 1_000_000_000
 #: Sources whose counts of a term are held in one array.
@@ -43,6 +51,31 @@ def divergence(p: Column, q: Column) -> Column:
     return F.call_function("div", (p - q) * (p - q), p + q)
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, source, term, n, docs) folded within a task, handed on whenever :data:`HELD` terms are held."""
+    held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+
+    def folded() -> Iterator[pa.RecordBatch]:
+        for (lang, source), (n, docs) in held.items():
+            terms = pa.array([b"", *n], pa.binary()).cast(pa.string())  # the empty term stands for the group
+            size = len(terms)
+            yield pa.RecordBatch.from_pydict({
+                "lang": pa.repeat(lang, size), "source": pa.repeat(source, size), "term": terms,
+                "n": pa.array([0, *n.values()], pa.int64()), "docs": pa.array([0, *map(docs.__getitem__, n)], pa.int64()),
+            })
+        held.clear()
+
+    for batch in batches:
+        for lang, source, text in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+            n, docs = held.setdefault((lang, source), (Counter(), Counter()))
+            terms = _TERMS(text.lower())  # of bytes: only A-Z change
+            n.update(terms)
+            docs.update(set(terms))
+        if sum(len(n) for n, _ in held.values()) > HELD:
+            yield from folded()
+    yield from folded()
+
+
 def term_counts(docs: DataFrame) -> DataFrame:
     """(lang, source, term, n, docs): occurrences of a term and documents with it.
 
@@ -50,17 +83,11 @@ def term_counts(docs: DataFrame) -> DataFrame:
     without terms are there. Null text, lang and source count as ''. Rows are
     folded within tasks before they move.
     """
-    read = docs.select(*(F.coalesce(field(docs, c).cast("string"), F.lit("")).alias(c) for c in (*_GROUP, "text")))
-    terms = F.filter(F.split(F.translate("text", UPPER, LOWER), SEPARATORS), lambda t: t != "")
-    entry = lambda n, d: lambda t: F.struct(t.alias("term"), F.lit(n).alias("n"), F.lit(d).alias("d"))
-    none = F.array(entry(0, 0)(F.lit("")))
-    entries = F.concat(none, F.transform("terms", entry(1, 0)), F.transform(F.array_distinct("terms"), entry(0, 1)))
-    return (
-        read.select(*_GROUP, terms.alias("terms"))
-        .select(*_GROUP, F.inline(entries))
-        .groupBy(*_GROUP, "term")
-        .agg(F.sum("n").alias("n"), F.sum("d").alias("docs"))
-    )
+    known = {c: F.coalesce(field(docs, c).cast("string"), F.lit("")) for c in (*_GROUP, "text")}
+    known["text"] = known["text"].cast("binary")
+    read = docs.select(*(column.alias(c) for c, column in known.items()))
+    parts = read.mapInArrow(_counted, "lang string, source string, term string, n bigint, docs bigint")
+    return parts.groupBy(*_GROUP, "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def _profile(counts: DataFrame, min_docs: int) -> tuple[DataFrame, DataFrame]:
