@@ -61,43 +61,44 @@ def _spelled(tree) -> tuple[set[str] | None, list[set[str]]]:
     run: set[str] = {""}
     needed: list[set[str]] = []
     for op, arg in tree:
-        strings, inner = _spelled_one(str(op), arg)
+        strings, inner, ends = _spelled_one(str(op), arg)
         needed += inner
         if strings is not None and len(run) * len(strings) <= _MANY:
             run = {a + b for a, b in product(run, strings)}
             continue
         whole = None
+        if ends is not None and len(run) * len(ends) <= _MANY:
+            run = {a + b for a, b in product(run, ends)}
         needed.append(run)
-        run = {""}
-        if strings is not None:
-            run = strings
+        run = strings or ends or {""}
     if whole is not None:
         return run, needed
     return None, [*needed, run]
 
 
-def _spelled_one(op: str, arg) -> tuple[set[str] | None, list[set[str]]]:
+def _spelled_one(op: str, arg) -> tuple[set[str] | None, list[set[str]], set[str] | None]:
+    """The same of one part, and strings with one of which it begins and with one of which it ends."""
     if op == "LITERAL":
-        return {chr(arg).lower()}, []
+        return {chr(arg).lower()}, [], None
     if op == "IN" and all(str(kind) == "LITERAL" for kind, _ in arg):
-        return {chr(code).lower() for _, code in arg}, []
+        return {chr(code).lower() for _, code in arg}, [], None
     if op == "SUBPATTERN":
-        return _spelled(arg[3])
+        return *_spelled(arg[3]), None
     if op == "BRANCH":
         parts = [_spelled(branch) for branch in arg[1]]
         if all(strings is not None for strings, _ in parts):
-            return set().union(*(strings for strings, _ in parts)), []
+            return set().union(*(strings for strings, _ in parts)), [], None
         # One branch holds, so one of the strings that each branch needs holds.
         each = [[strings] if strings is not None else inner for strings, inner in parts]
         best = [max(x, key=lambda s: min(map(len, s)), default={""}) for x in each]
-        return None, [set().union(*best)]
+        return None, [set().union(*best)], None
     if op in ("MAX_REPEAT", "MIN_REPEAT", "POSSESSIVE_REPEAT"):
         least, most, body = arg
         strings, inner = _spelled(body)
         if least == 0:
-            return ({""} | strings, []) if most == 1 and strings is not None else (None, [])
+            return ({""} | strings, [], None) if most == 1 and strings is not None else (None, [], None)
         if strings is None:
-            return None, inner
+            return None, inner, None
         copies = {""}
         for _ in range(int(least)):
             if len(copies) * len(strings) > _MANY:
@@ -105,11 +106,12 @@ def _spelled_one(op: str, arg) -> tuple[set[str] | None, list[set[str]]]:
             copies = {a + b for a, b in product(copies, strings)}
         else:
             if least == most:
-                return copies, inner
-        return None, [*inner, copies]
+                return copies, inner, None
+        # An open repeat begins and ends with that many copies.
+        return None, [*inner, copies], copies
     if op == "AT":
-        return {""}, []
-    return None, []
+        return {""}, [], None
+    return None, [], None
 
 
 def trigram_query(pattern: str) -> list[list[frozenset[str]]]:
