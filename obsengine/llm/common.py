@@ -34,6 +34,20 @@ def words_of(text: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete stored scratch tables that nothing reads any more.
+
+    Only for tables of ``materialize`` whose results are stored elsewhere; what
+    still reads one fails.
+    """
+    for table in tables:
+        files = table.inputFiles()
+        if files:
+            context = table.sparkSession.sparkContext
+            folder = context._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 BITMAP_BITS = 23
 
 

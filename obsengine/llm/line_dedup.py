@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsengine.llm.common import bitmap, possibly, whole_row
+from obsengine.llm.common import bitmap, discard, possibly, whole_row
 from obsengine.llm.shingles import word_hashes
 from obsengine.session import materialize
 
@@ -149,8 +149,8 @@ def _line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.mapInArrow(pick, f"key binary, doc {_kind(docs)}, line bigint, body binary")
 
 
-def _near_drops(lines: DataFrame) -> DataFrame:
-    """(doc, line) of the lines with an earlier line within distance 1."""
+def _near_drops(lines: DataFrame) -> tuple[DataFrame, tuple[DataFrame, ...]]:
+    """(doc, line) of the lines with an earlier line within distance 1, and the stored tables it reads."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -195,7 +195,7 @@ def _near_drops(lines: DataFrame) -> DataFrame:
             places = batch.select([0, 1])
             yield places.take(pa.array(kept, pa.int64()))
 
-    return full.mapInArrow(verify, f"doc {_kind(lines)}, line bigint").distinct()
+    return full.mapInArrow(verify, f"doc {_kind(lines)}, line bigint").distinct(), (rows, pairs)
 
 
 def dedup_lines(
@@ -232,7 +232,8 @@ def dedup_lines(
     )
     wanted = materialize(_near_candidates(firsts), "candidates")
     texts = materialize(_line_texts(base, wanted), "bodies")
-    near = _near_drops(texts).withColumn("near", F.lit(1))
+    found, spent = _near_drops(texts)
+    near = found.withColumn("near", F.lit(1))
     drops = exact.union(near).groupBy("doc", "line").agg(F.min("near").alias("near"))
     drops = materialize(
         drops.groupBy("doc").agg(
@@ -242,10 +243,11 @@ def dedup_lines(
         "drops",
     )
 
+    discard(lines, firsts, wanted, texts, *spent)
     marked = possibly(shown, F.col("doc"), bitmap(drops.select("doc"), "doc"))
     parts = F.split("_text", "\n")
     kept = F.filter(parts, lambda _, i: ~F.array_contains("_gone", i.cast("long")))
-    n_lines = F.size(F.filter(F.split(F.coalesce("_text", F.lit("")), "\n"), lambda x: _n_words(x) >= min_words))
+    n_lines = F.size(F.filter(F.split(F.coalesce("_text", F.lit("")), "\n"), lambda x: _has_words(x, min_words)))
     hit = marked.filter("_possible").join(drops, "doc", "left")
     cut = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(kept, "\n"))
     zero = F.lit(0).cast("long")
@@ -260,8 +262,9 @@ def dedup_lines(
     )
 
 
-def _n_words(line):
-    return F.regexp_count(line, F.lit("[^\\x20\\x09-\\x0D]+"))
+def _has_words(line, least: int):
+    """Whether a line has so many words; the match stops at the last of them and never goes back."""
+    return F.rlike(line, F.lit("\\A(?:[\\x20\\x09-\\x0D]*+[^\\x20\\x09-\\x0D]++){%d}" % least))
 
 
 def dedup_sql(min_words: int = 3, near_words: int = 10) -> str:
