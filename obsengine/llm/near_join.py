@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from obsengine.llm.common import bitmap, components, possibly, whole_row
+from obsengine.llm.common import bitmap, components, discard, possibly, whole_row
 from obsengine.llm.shingles import shingle_set
 from obsengine.session import materialize
 
@@ -225,9 +225,11 @@ def _verified(
     full = pairs.join(sets.select(F.col("key").alias("b"), F.col("set").alias("right")), "b").join(
         sets.select(F.col("key").alias("a"), F.col("set").alias("left")), "a"
     )
-    return materialize(
+    similar = materialize(
         full.select("a", "b", "left", "right").mapInArrow(verify, "a binary, b binary"), "similar"
     )
+    discard(pairs, wanted, sets)
+    return similar
 
 
 def _known(links: DataFrame) -> DataFrame:
@@ -249,7 +251,7 @@ def _torn(members_at: DataFrame) -> DataFrame:
 
 
 def _meetings(shared: DataFrame, members_at: DataFrame, percent: int, nearest_only: bool) -> DataFrame:
-    """Group pairs (ga, gb) of different components that share a token and may be similar.
+    """Stored group pairs (ga, gb) of different components that share a token and may be similar.
 
     Per token, groups outside its main component meet all groups. Both sides
     are cut into blocks of about :data:`BLOCK` groups by hash, and a task sees
@@ -306,7 +308,9 @@ def _meetings(shared: DataFrame, members_at: DataFrame, percent: int, nearest_on
         if held is not None and held.num_rows:
             yield _compared(held, _starts(held), percent, nearest_only)
 
-    return dealt.mapInArrow(compare, "ga bigint, gb bigint").distinct()
+    met = materialize(dealt.mapInArrow(compare, "ga bigint, gb bigint").distinct(), "met")
+    discard(spread, placed)
+    return met
 
 
 def _starts(table: pa.Table) -> np.ndarray:
@@ -427,10 +431,27 @@ def near_join(
     smallest = linked.groupBy("root").agg(F.min("doc").alias("least"))
     named = linked.join(smallest, "root").select("key", "least")
     named = classes.join(named, "key", "left").select("key", F.coalesce("least", "doc").alias("least"))
-    return rows.join(named, "key", "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id")).alias("component_id"),
-    )
+    named = materialize(named, "named")
+    discard(shared, crowded, members, classes)
+    return _answers(rows.select("id", "n", "key"), named).withColumnsRenamed({"id": id_col, "n": "n_shingles"})
+
+
+def _answers(rows: DataFrame, named: DataFrame) -> DataFrame:
+    """(id, n, component_id) of every row, the rows of no set and of large classes apart.
+
+    A class is large if it holds more than a thousandth of the rows, so large
+    ones are fewer than a thousand and their names are broadcast.
+    """
+    counts = rows.filter("n > 0").groupBy("key").count()
+    total = rows.count()
+    large = counts.filter(F.col("count") * 1000 > total).select("key")
+    names = materialize(named.join(large, "key", "left_semi"), "large")
+    least = F.col("least").alias("component_id")
+    full = rows.filter("n > 0")
+    alone = rows.filter("n = 0").select("id", "n", F.col("id").alias("component_id"))
+    copies = full.join(F.broadcast(names), "key").select("id", "n", least)
+    rest = full.join(F.broadcast(names.select("key")), "key", "left_anti").join(named, "key", "left")
+    return alone.union(copies).union(rest.select("id", "n", least))
 
 
 def _members(pairs: DataFrame, members: DataFrame) -> DataFrame:
