@@ -2,14 +2,14 @@
 
 Tasks tokenise whole texts and cut the longer ones. Full pieces are sequences
 of their own and never move. The rest is dealt by hash into shards of a known
-size; each shard is packed by best fit and then improved by local search:
-moving a piece, exchanging one for one or two for one raises the sum of squared
-fill, until the emptiest sequences have nothing left.
+size; each shard is packed by best fit and then improved by local search among
+underfull sequences: moving a piece, exchanging one for one, or two for one
+either way, raises the sum of squared fill, until sequences have nothing left.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +24,9 @@ from obsengine.session import materialize
 
 #: Pieces that one task packs together; a shard wastes about half a sequence.
 SHARD = 20_000
+#: Pairs of sequences that the search of a shard compares at least; five per piece in large shards.
+#: It bounds the time of the search, not what is packed.
+EFFORT = 20_000
 
 
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:
@@ -94,64 +97,63 @@ class _Bins:
                 present |= 1 << left
 
     def search(self) -> None:
-        """Empty the emptiest bins into the others while the total still allows fewer bins."""
+        """Exchange pieces between underfull bins, raising the sum of squared fills, until bins empty.
+
+        Every pass lets each underfull bin, emptiest first, hand pieces to every
+        other one, fullest first. It goes on while a pass improves anything and
+        fewer bins could do; :data:`EFFORT` bounds the comparisons of bins.
+        """
         least = -(-sum(self.sizes) // self.capacity)
-        while sum(map(bool, self.members)) > least:
-            donor = max((b for b, m in enumerate(self.members) if m), key=lambda b: (self.room[b], b))
-            if not self._drain(donor):
-                break
-
-    def _drain(self, donor: int) -> bool:
-        """Shrink the donor by improving exchanges; whether it is empty at last."""
-        under = sorted((self.room[b], b) for b, m in enumerate(self.members) if m and b != donor and self.room[b])
-        while self.members[donor]:
-            for item in sorted(self.members[donor], key=lambda i: -self.sizes[i]):
-                if self._place(donor, item, under):
-                    break
-            else:
-                return False
+        left = max(EFFORT, 5 * len(self.sizes))
+        live = sum(map(bool, self.members))
+        improved = True
+        while improved and live > least:
+            improved = False
+            under = sorted((b for b, m in enumerate(self.members) if m and self.room[b]), key=lambda b: (-self.room[b], b))
+            for donor in under:
+                for taker in reversed(under):
+                    left -= 1
+                    if left < 0 or live <= least:
+                        return
+                    while taker != donor and self.members[donor] and self.members[taker] and self._exchange(donor, taker):
+                        improved = True
+                        live -= not self.members[donor]
+                    if not self.members[donor]:
+                        break
+
+    def _exchange(self, donor: int, taker: int) -> bool:
+        """The exchange that gives the taker most tokens, if it raises the sum of squares.
+
+        A gain of g does if the taker ends up fuller than the donor was:
+        (t + g)^2 + (d - g)^2 > t^2 + d^2 exactly if t + g > d.
+        """
+        room, sizes = self.room[taker], self.sizes
+        more_than = max(0, room - self.room[donor])  # d - t
+        if more_than >= room:
+            return False
+        mine = sorted(self.members[donor], key=sizes.__getitem__)
+        theirs = sorted(self.members[taker], key=sizes.__getitem__)
+        best, chosen = more_than, None
+        two = lambda items: [(x, y) for i, x in enumerate(items) for y in items[:i]]
+        ways = [([(x,) for x in mine], [(), *((x,) for x in theirs), *two(theirs)]), (two(mine), [(x,) for x in theirs])]
+        weight = lambda items: sum(sizes[i] for i in items)
+        for given, taken in ways:
+            taken = sorted(taken, key=weight)
+            weights = [weight(t) for t in taken]
+            for come in given:
+                size = weight(come)
+                at = bisect_left(weights, size - room)  # the lightest return that leaves room
+                if at < len(taken) and size - weights[at] > best:
+                    best, chosen = size - weights[at], (come, taken[at])
+        if chosen is None:
+            return False
+        come, gone = chosen
+        self.members[donor] = [i for i in self.members[donor] if i not in come] + list(gone)
+        self.members[taker] = [i for i in self.members[taker] if i not in gone] + list(come)
+        self.room[donor] += best
+        self.room[taker] -= best
         return True
 
-    def _shift(self, under: list, b: int, donor: int, gone: list[int], come: list[int]) -> None:
-        """``gone`` leave bin b for the donor and ``come`` come from it."""
-        if self.room[b]:
-            under.remove((self.room[b], b))
-        for item in gone:
-            self.members[b].remove(item)
-            self.members[donor].append(item)
-        for item in come:
-            self.members[donor].remove(item)
-            self.members[b].append(item)
-        gain = sum(self.sizes[i] for i in come) - sum(self.sizes[i] for i in gone)
-        self.room[b] -= gain
-        self.room[donor] += gain
-        if self.room[b]:
-            insort(under, (self.room[b], b))
-
-    def _place(self, donor: int, item: int, under: list[tuple[int, int]]) -> bool:
-        size = self.sizes[item]
-        fits = bisect_left(under, (size, -1))
-        if fits < len(under):  # move
-            self._shift(under, under[fits][1], donor, [], [item])
-            return True
-        fill = self.capacity - self.room[donor]
-        for room, b in reversed(under):
-            # A bin that gets g more tokens raises the sum of squares if it ends up
-            # fuller than the donor was: (f + g)^2 + (d - g)^2 > f^2 + d^2, f + g > d.
-            base = self.capacity - room
-            worth = lambda gain: 0 < gain <= room and base + gain > fill  # noqa: B023, E731
-            inside = sorted(self.members[b], key=lambda i: self.sizes[i])
-            for other in inside:  # one for one
-                if worth(size - self.sizes[other]):
-                    self._shift(under, b, donor, [other], [item])
-                    return True
-            for x in range(len(inside)):  # two for one
-                for y in range(x + 1, len(inside)):
-                    if worth(size - self.sizes[inside[x]] - self.sizes[inside[y]]):
-                        self._shift(under, b, donor, [inside[x], inside[y]], [item])
-                        return True
-        return False
-
 
 def pack_sizes(sizes: list[int], capacity: int) -> list[list[int]]:
     """Bins of item numbers, none over ``capacity``; every item is in exactly one bin."""
