@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import heapq
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -138,22 +139,33 @@ def nearest(
     ``queries`` is a condition on the column ``id``. The score is the Euclidean
     distance in double precision, ties go to the smaller id, and rows with the
     query's own id are no candidates. Repeated rows are candidates each;
-    repeated query ids are asked once. Vectors take part whose length is the
-    most common one. Fewer candidates than ``k`` give all of them.
+    repeated query ids are asked once. Fewer candidates than ``k`` give all of
+    them. Vectors of different lengths have no distance: each length that a
+    query has is an index of its own, and the candidates of a query are the
+    rows of its length. A query id repeated with several lengths is asked with
+    each, and its nearest of all are ranked together.
     """
-    spark = vectors.sparkSession
     rows = materialize(usable(vectors, id_col, vector), "vectors")
-    sizes = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
+    per_length = rows.groupBy(F.size("v").alias("d")).agg(F.count_if(queries(F.col("id"))).alias("asked"))
+    lengths = sorted(r["d"] for r in per_length.filter("asked > 0").collect())  # a few
     schema = "query_id bigint, rank int, vec_id bigint, score double"
-    if sizes is None:
-        return spark.createDataFrame([], schema)
-    rows = rows.filter(F.size("v") == sizes["d"])
+    if not lengths:
+        return vectors.sparkSession.createDataFrame([], schema)
+    ranked = [_ranked(rows.filter(F.size("v") == d), d, queries, k, centroids, recall) for d in lengths]
+    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    best = reduce(DataFrame.union, ranked).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+def _ranked(rows: DataFrame, length: int, queries, k: int, centroids: int, recall: float) -> DataFrame:
+    """(query_id, vec_id, score) of the nearest found in every chunk, among rows of one length."""
+    spark = rows.sparkSession
     picked = rows.orderBy(F.xxhash64("id", "v"), "id").limit(SAMPLE).select("v").toPandas()
     books = spark.sparkContext.broadcast(fit(np.stack(picked["v"]), centroids, k, recall))
 
     def locate(batches):
         for frame in batches:
-            x = np.stack(frame["v"]) if len(frame) else np.zeros((0, sizes["d"]))
+            x = np.stack(frame["v"]) if len(frame) else np.zeros((0, length))
             yield frame.assign(cell=books.value.cells(x)) if len(frame) else frame.assign(cell=pd.Series(dtype="int64"))
 
     index = materialize(rows.mapInPandas(locate, "id bigint, v array<double>, cell bigint"), "index")
@@ -217,9 +229,6 @@ def nearest(
         return pd.concat(found)
 
     keys = ("chunk", "part", "block")
-    ranked = placed.groupBy(*keys).cogroup(probes.groupBy(*keys)).applyInPandas(
+    return placed.groupBy(*keys).cogroup(probes.groupBy(*keys)).applyInPandas(
         lambda near, queried: rank(near, queried), "query_id bigint, vec_id bigint, score double"
     )
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    best = ranked.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
