@@ -27,7 +27,7 @@ from obsengine.plans.enrich import CITY_BAND, STATION_BAND, enrich
 from obsengine.plans.lookup import lookup
 from obsengine.plans.ml import ml_run
 from obsengine.session import scratch_path
-from obsengine.sources import catalog, jdbc, profiles, readers, writers
+from obsengine.sources import catalog, deltas, jdbc, profiles, readers, writers
 
 SEED = 7
 SUMMARY_FROM = 1998
@@ -216,6 +216,24 @@ def _snapshot_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return writers.read_snapshot(spark, exports, "docs", "20240102", odd.schema)
 
 
+def _snapshot_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table at two of three stamps, rebuilt from what changed between them."""
+    root, key = scratch_path(spark, "deltas"), F.col("o_orderkey")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    raised = orders.withColumn("o_totalprice", F.when(key % 4 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    tables = {
+        "20240101": orders.filter(key % 7 != 0),
+        "20240102": raised.filter(key % 5 != 0),
+        "20240103": orders.withColumn("o_orderstatus", F.nullif("o_orderstatus", F.lit("O"))),
+    }
+    previous = None
+    for stamp, table in tables.items():
+        deltas.write_delta(table, root, "orders", ["o_orderkey"], stamp, previous)
+        previous = stamp
+    at = [deltas.read_at(spark, root, "orders", s).withColumn("stamp", F.lit(s)) for s in ("20240102", "20240103")]
+    return at[0].union(at[1])
+
+
 def _sink(write: Callable[[DataFrame, str], None], read: Callable[[DataFrame, str], DataFrame]) -> Query:
     """Daily observations through a sink and back."""
 
@@ -528,6 +546,7 @@ def queries() -> dict[str, Query]:
         "trusted_roundtrip": _trusted_roundtrip,
         "snapshot_tables": _snapshot_tables,
         "snapshot_rows": _snapshot_rows,
+        "snapshot_delta": _snapshot_delta,
         "undated_observations": _undated_observations,
         "sink_parquet": _sink(
             writers.write_parquet, lambda df, path: df.sparkSession.read.parquet(path)
@@ -804,6 +823,11 @@ _SQL = {
     "snapshot_rows": """SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN NULL WHEN doc_id % 5 = 0 THEN ''
        WHEN doc_id % 3 = 0 THEN '\\N' || text WHEN doc_id % 2 = 0 THEN ' "a",' || text || ' '
        ELSE text END AS text, lang, n_chars FROM documents""",
+    "snapshot_delta": """SELECT o_orderkey, o_custkey,
+       CASE WHEN o_orderkey % 4 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+       o_orderstatus, '20240102' AS stamp FROM orders WHERE o_orderkey % 5 <> 0
+UNION ALL
+SELECT o_orderkey, o_custkey, o_totalprice, NULLIF(o_orderstatus, 'O'), '20240103' FROM orders""",
     "pressure_quartiles": """SELECT city, round(avg(pressure), 6) AS avg_humidity,
        round(quantile_disc(pressure, 0.25), 6) AS humidity_q1,
        round(quantile_disc(pressure, 0.5), 6) AS humidity_median,

@@ -140,19 +140,22 @@ def with_temp_category(
     return df.withColumn("temp_category", banded(F.col(temperature), cutoffs, labels))
 
 
+#: The categories of a monthly row in SQL, for views and for frames.
+SUMMARY_CATEGORIES = {
+    "temperature_category": (
+        f"CASE WHEN avg_temp_max > {C.HOT_ABOVE} THEN 'Hot' "
+        f"WHEN avg_temp_max < {C.COLD_BELOW} THEN 'Cold' ELSE 'Moderate' END"
+    ),
+    "precipitation_category": (
+        f"CASE WHEN total_precipitation > {C.RAIN_HIGH_ABOVE} THEN 'High' "
+        f"WHEN total_precipitation > {C.RAIN_MEDIUM_ABOVE} THEN 'Medium' ELSE 'Low' END"
+    ),
+}
+
+
 def with_summary_categories(df: DataFrame) -> DataFrame:
     """``temperature_category`` and ``precipitation_category`` of a monthly row."""
-    hottest, rain = F.col("avg_temp_max"), F.col("total_precipitation")
-    return df.withColumns(
-        {
-            "temperature_category": F.when(hottest > C.HOT_ABOVE, "Hot")
-            .when(hottest < C.COLD_BELOW, "Cold")
-            .otherwise("Moderate"),
-            "precipitation_category": F.when(rain > C.RAIN_HIGH_ABOVE, "High")
-            .when(rain > C.RAIN_MEDIUM_ABOVE, "Medium")
-            .otherwise("Low"),
-        }
-    )
+    return df.withColumns({name: F.expr(rule) for name, rule in SUMMARY_CATEGORIES.items()})
 
 
 def available(df: DataFrame, names: Iterable[str]) -> list[str]:

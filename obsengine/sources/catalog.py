@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from obsengine import constants as C
+from obsengine.functions.columns import SUMMARY_CATEGORIES
 from obsengine.schemas import GENERIC_TABLE, RESULT_TABLES
 
 
@@ -57,13 +58,24 @@ def _columns(schema: T.StructType) -> list[tuple[str, str]]:
     return [(field.name, field.dataType.simpleString()) for field in schema.fields]
 
 
+#: Rows of a row group of a published table: what a lookup reads at least.
+GROUP_ROWS = 100_000
+
+
 def publish(
-    spark: SparkSession, df: DataFrame, database: str, name: str, location: str
+    spark: SparkSession,
+    df: DataFrame,
+    database: str,
+    name: str,
+    location: str,
+    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Write a new version of a result table and switch its readers to it.
 
-    A version is a folder of its own below ``location``, sorted so that files
-    hold separate ranges of places and a lookup by city skips most of them. The
+    A version is a folder of its own below ``location``. It is its own index:
+    rows are sorted by place and period and cut into groups of ``group_rows``,
+    whose extremes and Bloom filters of places let a lookup skip all groups
+    but those of its place and period. The
     table moves to the version only when it is written whole: a write that
     fails leaves the rows published before, and running readers keep their
     files until :func:`drop_versions`. A table whose name is not a declared one
@@ -72,7 +84,10 @@ def publish(
     keys = [c for c in ("city", "year", "month", "event_date", "prediction_date") if c in df.columns]
     rows = df.sort(*keys) if keys else df
     version = f"{location.rstrip('/')}/v-{uuid.uuid4().hex}"
-    rows.write.mode("error").parquet(version)
+    writer = rows.write.mode("error").option("parquet.block.row.count.limit", group_rows)
+    if "city" in df.columns:
+        writer = writer.option("parquet.bloom.filter.enabled#city", True)
+    writer.parquet(version)
     table = _quoted(database, name)
     schema = RESULT_TABLES.get(name, df.schema)
     if spark.catalog.tableExists(table) and _columns(spark.table(table).schema) != _columns(schema):
@@ -113,15 +128,10 @@ def create_weather_summary(
     """Create or replace the ``weather_summary`` view over the monthly statistics."""
     view = _quoted(database, "weather_summary")
     stats = _quoted(database, "city_temperature_stats")
+    categories = ", ".join(f"{rule} AS {name}" for name, rule in SUMMARY_CATEGORIES.items())
     spark.sql(
         f"""CREATE OR REPLACE VIEW {view} AS
-        SELECT city, year, month, avg_temp_max, avg_temp_min, total_precipitation,
-               CASE WHEN avg_temp_max > {C.HOT_ABOVE} THEN 'Hot'
-                    WHEN avg_temp_max < {C.COLD_BELOW} THEN 'Cold'
-                    ELSE 'Moderate' END AS temperature_category,
-               CASE WHEN total_precipitation > {C.RAIN_HIGH_ABOVE} THEN 'High'
-                    WHEN total_precipitation > {C.RAIN_MEDIUM_ABOVE} THEN 'Medium'
-                    ELSE 'Low' END AS precipitation_category
+        SELECT city, year, month, avg_temp_max, avg_temp_min, total_precipitation, {categories}
         FROM {stats} WHERE year >= {int(from_year)}"""
     )
     return spark.table(view)

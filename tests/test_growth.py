@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from obsengine import schemas
 from obsengine.operators import aggregates, models, quartiles, splits
 from obsengine.session import materialize
-from obsengine.sources import catalog, profiles, readers, writers
+from obsengine.plans.lookup import lookup
+from obsengine.sources import catalog, deltas, profiles, readers, writers
 
 # Raw records
 
@@ -119,6 +120,58 @@ def test_undeclared_tables_follow_the_columns_of_their_rows(spark, tmp_path):
         assert catalog.publish(spark, df, "versions", "free", f"{tmp_path}/free").collect() == df.collect()
 
 
+def row_groups_met(df):
+    """Rows that the scan of a frame hands on, after row groups are skipped."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_a_lookup_skips_most_row_groups(spark, tmp_path):
+    catalog.ensure_database(spark, "indexed", f"{tmp_path}/db")
+    stats = spark.range(60_000).selectExpr(
+        "concat('c', id % 100) AS city", "CAST(1400 + id DIV 1200 AS INT) AS year", "CAST(id DIV 100 % 12 + 1 AS INT) AS month",
+        *(f"CAST(id AS {t}) AS {n}" for n, t in (("avg_temp_max", "DOUBLE"), ("avg_temp_min", "DOUBLE"), ("total_precipitation", "DOUBLE"),
+          ("avg_windspeed", "DOUBLE"), ("days_with_rain", "INT"), ("extreme_temp_max", "DOUBLE"), ("extreme_temp_min", "DOUBLE"))),
+    )
+    catalog.publish(spark, stats, "indexed", "city_temperature_stats", f"{tmp_path}/stats", group_rows=200)
+    found = lookup(spark, "indexed", "cities", "c42")
+    assert found.count() == 600
+    assert row_groups_met(found) < 6_000  # a tenth of all row groups
+    few = lookup(spark, "indexed", "cities", "c42", date(1410, 1, 1), date(1411, 12, 31))
+    assert few.count() == 24 and row_groups_met(few) <= 600
+    assert lookup(spark, "indexed", "cities", "c42x").count() == 0
+    assert row_groups_met(lookup(spark, "indexed", "cities", "c42x")) < 6_000
+
+
+# Deltas
+
+
+def test_tables_are_rebuilt_from_their_deltas(spark, tmp_path):
+    schema = "k string, n int, `a.b` string, v double"
+    versions = {
+        "1": [("a", 1, None, 1.0), ("b", 1, "", 2.0), (None, 1, "x", 3.0), ("c", None, "x", 0.0)],
+        "2": [("a", 1, "", 1.0), ("b", 1, "", 2.0), (None, 1, "x", 4.0)],
+        "3": [],
+        "4": [("c", None, "x", 0.0), ("b", 1, None, 2.0)],
+    }
+    previous, counted = None, {}
+    for stamp, rows in versions.items():
+        df = spark.createDataFrame(rows, schema)
+        counted[stamp] = deltas.write_delta(df, str(tmp_path), "t", ["k", "n"], stamp, previous)
+        previous = stamp
+    assert counted == {
+        "1": {"put": 4, "gone": 0}, "2": {"put": 2, "gone": 1}, "3": {"put": 0, "gone": 3}, "4": {"put": 2, "gone": 0}
+    }
+    for stamp, rows in versions.items():
+        found = deltas.read_at(spark, str(tmp_path), "t", stamp)
+        assert found.columns == ["k", "n", "a.b", "v"]
+        assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, rows))
+    twice = spark.createDataFrame([("a", 1, "x", 1.0), ("a", 1, "y", 1.0)], schema)
+    with pytest.raises(ValueError, match="share a key"):
+        deltas.write_delta(twice, str(tmp_path), "t", ["k", "n"], "5", "4")
+
+
 # Profiles that grow
 
 POINTS = "city string, date date, temperature double, humidity double"
