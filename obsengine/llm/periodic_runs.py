@@ -69,14 +69,13 @@ def recompress(symbols: np.ndarray) -> list[Level]:
     """Levels of the grammar, the given symbols first; negative ones are never joined."""
     levels = [Level(symbols)]
     fresh = int(symbols.max(initial=0)) + 1
-    fixed = int((symbols < 0).sum())
     factor = np.uint64(0x9E3779B97F4A7C15)  # an odd multiplier that mixes names
     while True:
         level, now = levels[-1], levels[-1].symbols
-        # Between two marks one symbol is left at the end.
-        if len(now) <= 2 * fixed - 1 or len(now) < 2:
+        joinable = (now[:-1] >= 0) & (now[1:] >= 0)
+        if not joinable.any():  # one symbol is left between two marks
             return levels
-        starts = np.append(True, now[1:] != now[:-1])
+        starts = np.append(True, ~joinable | (now[1:] != now[:-1]))
         if not starts.all():
             level.joined(starts, True)
             sizes, heads = np.diff(level.child), now[level.child[:-1]]
@@ -86,7 +85,7 @@ def recompress(symbols: np.ndarray) -> list[Level]:
             continue
         turn = np.uint64(len(levels))
         right = ((now.astype(np.uint64) + turn) * factor >> np.uint64(40 + len(levels) % 16)) & np.uint64(1) == 1
-        pairs = ~right[:-1] & right[1:] & (now[:-1] >= 0) & (now[1:] >= 0)
+        pairs = ~right[:-1] & right[1:] & joinable
         starts = np.append(True, ~pairs)
         level.joined(starts, False)
         heads, at = now[level.child[:-1]], np.flatnonzero(pairs)
