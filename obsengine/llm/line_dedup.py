@@ -208,15 +208,16 @@ def dedup_lines(
     texts stay null and empty ones empty; a document that loses all its lines
     keeps its row. Where ids repeat or are null, rows are numbered and stored
     first, and every row is a place of its own, in the order of id, then number;
-    rows with a null id come last. Texts move between tasks only for documents
+    rows whose id is null or no whole number come last. Texts move between tasks only for documents
     that may lose a line.
     """
-    order = F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST))
+    number = F.col(id_col).try_cast("long")
+    order = F.coalesce(number, F.lit(_LAST))
     shown = docs.select(whole_row(docs), F.col(text).alias("_text"), order.alias("doc"))
-    ids = docs.groupBy(F.col(id_col).cast("long").alias("id")).count()
+    ids = docs.groupBy(number.alias("id")).count()
     if not ids.filter("count > 1 OR id IS NULL").isEmpty():
-        number = F.struct(F.col("doc").alias("id"), F.monotonically_increasing_id().alias("number"))
-        shown = materialize(shown.withColumn("doc", number), "numbered")
+        place = F.struct(F.col("doc").alias("id"), F.monotonically_increasing_id().alias("number"))
+        shown = materialize(shown.withColumn("doc", place), "numbered")
     base = shown.select("doc", F.coalesce("_text", F.lit("")).cast("binary").alias("_bytes"))
     lines = materialize(_line_rows(base, min_words, near_words), "lines")
     firsts = lines.filter(~F.col("again")).groupBy("key").agg(

@@ -136,9 +136,34 @@ def test_trigram_queries(pattern, text, holds):
     assert all(any(all(t in text for t in o) for o in clause) for clause in query) == holds
 
 
+@pytest.mark.parametrize("pattern", ["(foo)?bar+", "(ab){3,}cd", "x(?:yz)+?w", "ab+c{2,}d", "[ab]{2,}c+de", "(a|bc)+def", "k_{1,3}ey"])
+def test_trigram_queries_hold_for_every_match(pattern):
+    """No string that an expression matches lacks a trigram that its query demands."""
+    query = secrets.trigram_query(pattern)
+    assert query or pattern == "k_{1,3}ey"
+
+    @settings(max_examples=60, deadline=None)
+    @given(st.from_regex(pattern))
+    def check(text):
+        low = text.lower()
+        assert all(any(all(t in low for t in o) for o in clause) for clause in query)
+
+    check()
+
+
 # Lines
 
 
+def test_line_dedup_of_ids_that_are_no_numbers(spark):
+    """Numbers keep their order; other ids come last, each row a place of its own."""
+    line, other = "one two three four", "five six seven"
+    rows = [("b", line), ("10", f"{line}\n{other}"), ("9", line), ("a", other), (None, line), ("b", f"{line}\nx y z")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    found = line_dedup.dedup_lines(docs).select("row.doc_id", "text", "n_exact").collect()
+    got = sorted((r.doc_id or "", r.text, r.n_exact) for r in found)
+    assert got == sorted([("b", "", 1), ("10", other, 1), ("9", line, 0), ("a", "", 1), ("", "", 1), ("b", "x y z", 1)])
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from([b"a", b"b", b"c"]), max_size=7), st.lists(st.sampled_from([b"a", b"b", b"c"]), max_size=7))
 def test_lines_within_one_edit_share_a_variant_and_an_end(a, b):
