@@ -86,6 +86,7 @@ def op8_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.xxhash64("begins", "ends").alias("spans_hash"),
     )
 
 

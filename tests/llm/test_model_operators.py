@@ -55,6 +55,26 @@ def test_neighbours_of_odd_vectors(spark, monkeypatch):
     assert multi_index.nearest(docs.filter("vec_id > 99"), lambda i: i % 10 == 0, k=1).count() == 0
 
 
+def test_neighbours_of_every_length(spark):
+    """Queries of a rare length find the rows of their length; no query is left out."""
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=2 + (i >= 299) + (i >= 480)).tolist()) for i in range(500)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got: dict = {}
+    for r in multi_index.nearest(frame, lambda i: i % 100 == 0, k=5, recall=1.0).collect():
+        got.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)
+    assert sorted(got) == [0, 100, 200, 300, 400]
+    hits = 0
+    for q, found in got.items():
+        same = [(i, v) for i, v in rows if len(v) == len(rows[q][1])]
+        ids, x = np.array([i for i, _ in same]), np.array([v for _, v in same])
+        near, d = exact(ids, x, int(np.flatnonzero(ids == q)[0]), 5)
+        hits += len({ids[i] for i in near} & {v for v, _ in found.values()})
+        assert sorted(found) == [1, 2, 3, 4, 5]
+        assert all(math.isclose(s, d[ids == v][0], rel_tol=1e-12) for v, s in found.values())
+    assert hits >= 0.9 * 25
+
+
 def test_cells_are_visited_by_growing_sum():
     rng = np.random.default_rng(0)
     a, b = rng.random(7), rng.random(5)
@@ -96,6 +116,26 @@ def test_ensemble_finds_a_conjunction_and_few_rules():
     assert (weights != 0).sum() < 0.7 * len(paths)
 
 
+def test_compiled_rules_equal_rules_read_row_by_row(spark):
+    """The Spark expression of an ensemble against its paths and weights, one row at a time."""
+    rng = np.random.default_rng(8)
+    names = rule_ensemble.FEATURES
+    x = rng.integers(0, 6, (400, len(names))).astype(float)
+    y = ((x[:, 0] > 2) ^ (x[:, 1] > 3)).astype(int)
+    frame = spark.createDataFrame(
+        [(i, *row, int(label)) for i, (row, label) in enumerate(zip(x.tolist(), y))],
+        ", ".join(["doc_id bigint", *(f"`{n}` double" for n in names), "label int"]),
+    )
+    ensemble = rule_ensemble.fit(frame, "label")
+    assert len(ensemble.rules) > 2
+    scores = {r.doc_id: r.score for r in frame.select("doc_id", ensemble.score().alias("score")).collect()}
+    for i, row in enumerate(x):
+        total = ensemble.intercept
+        for path, weight in ensemble.rules:
+            total += weight * all(row[j] > t if above else row[j] <= t for j, above, t in path)
+        assert math.isclose(scores[i], 1 / (1 + math.exp(-total)), rel_tol=1e-9)
+
+
 # Language model
 
 
