@@ -73,13 +73,15 @@ def run_ml(spark: SparkSession, args: argparse.Namespace) -> dict:
 
 def run_publish(spark: SparkSession, args: argparse.Namespace) -> dict:
     predictions = spark.read.parquet(args.predictions) if args.predictions else None
+    trusted = readers.read_trusted(spark, args.input)
     names = publish.publish_results(
-        spark, readers.read_trusted(spark, args.input), args.database, args.output, predictions
+        spark, trusted, args.database, args.output, predictions, city=args.city
     )
     if args.drop_old:
         for name in names[:-1]:  # the last one is a view
             catalog.drop_versions(spark, args.database, name)
-    return {"status": "success", "tables": names}
+    left_out = publish.left_out_records(trusted, args.city)
+    return {"status": "success", "tables": names, "left_out_records": left_out}
 
 
 def run_profile(spark: SparkSession, args: argparse.Namespace) -> dict:
@@ -136,6 +138,7 @@ def parser() -> argparse.ArgumentParser:
     command = stage("publish", run_publish, "result tables in the catalog")
     command.add_argument("--input", required=True)
     command.add_argument("--database", required=True)
+    command.add_argument("--city", default="city_name")
     command.add_argument("--predictions", help="scored rows of the temperature model")
     command.add_argument("--drop-old", action="store_true", help="delete the versions published before")
     return root
