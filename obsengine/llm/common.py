@@ -1,7 +1,8 @@
 """Helpers that several operators of this subpackage share."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,11 +35,19 @@ def words_of(text: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in smaller ones, so that a task holds the results of few rows at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete stored scratch tables that nothing reads any more.
 
     Only for tables of ``materialize`` whose results are stored elsewhere; what
-    still reads one fails.
+    still reads one fails. Spark deletes the shuffle files of finished jobs when
+    the driver's collector meets their plans, which is asked to run.
     """
     for table in tables:
         files = table.inputFiles()
@@ -46,6 +55,8 @@ def discard(*tables: DataFrame) -> None:
             context = table.sparkSession.sparkContext
             folder = context._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
             folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+    if tables:
+        tables[0].sparkSession.sparkContext._jvm.System.gc()
 
 
 BITMAP_BITS = 23

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsengine.llm.common import bitmap, discard, possibly, whole_row
+from obsengine.llm.common import bitmap, discard, possibly, slices, whole_row
 from obsengine.llm.shingles import word_hashes
 from obsengine.session import materialize
 
@@ -80,7 +80,7 @@ def _line_rows(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
     """One row per line with enough words: place, 128-bit key, whether its document had it before, half keys."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out: dict[str, list] = {k: [] for k in ("at", "line", "key", "again", "halves")}
             for at, text in enumerate(batch.column(1).to_pylist()):
                 seen: set[bytes] = set()
@@ -128,7 +128,7 @@ def _line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     near = possibly(docs, F.col("doc"), bitmap(wanted.select("doc"), "doc")).filter("_possible")
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out: dict[str, list] = {k: [] for k in ("key", "doc", "line", "body")}
             for doc, (text, at) in enumerate(zip(*(batch.column(i).to_pylist() for i in (1, 2)), strict=True)):
                 lines = text.lower().split(b"\n")
@@ -153,7 +153,7 @@ def _near_drops(lines: DataFrame) -> tuple[DataFrame, tuple[DataFrame, ...]]:
     """(doc, line) of the lines with an earlier line within distance 1, and the stored tables it reads."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             bodies = batch.column(3).to_pylist()
             hashes = [variants(word_hashes(body.split())) for body in bodies]
             sizes = np.array([len(h) for h in hashes], np.int64)
@@ -189,7 +189,7 @@ def _near_drops(lines: DataFrame) -> tuple[DataFrame, tuple[DataFrame, ...]]:
     full = full.join(bodies, "key").select("me.doc", "me.line", "body", "before")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             body, before = (batch.column(i).to_pylist() for i in (2, 3))
             kept = [i for i, (a, b) in enumerate(zip(body, before, strict=True)) if within_one(a.split(), b.split())]
             places = batch.select([0, 1])

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from obsengine.llm.common import bitmap, components, discard, possibly, whole_row
+from obsengine.llm.common import bitmap, components, discard, possibly, slices, whole_row
 from obsengine.llm.shingles import shingle_set
 from obsengine.session import materialize
 
@@ -58,7 +58,7 @@ def _rarity(docs: DataFrame, size: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(1 << TABLE_BITS, np.uint32)
-        for batch in batches:
+        for batch in slices(batches):
             for text in batch.column(0).to_pylist():
                 np.add.at(table, shingle_set(text, size) >> np.uint64(64 - TABLE_BITS), 1)
         for k in range(SLICES):
@@ -95,7 +95,7 @@ def _prefixes(docs: DataFrame, rarity, size: int, percent: int) -> DataFrame:
     def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = rarity.value
         common = _common_level(level)
-        for batch in batches:
+        for batch in slices(batches):
             sizes, keys, groups, parts, cold, bits = [], [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 found = shingle_set(text, size)
@@ -195,7 +195,7 @@ def _verified(
     )
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             keys, sets = [], []
             for key, text in zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True):
                 found = shingle_set(text, size)
@@ -210,7 +210,7 @@ def _verified(
     sets = materialize(sets if unique else sets.dropDuplicates(["key"]), "sets")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             a, b, left, right = (batch.column(i).to_pylist() for i in range(4))
             kept = []
             for i, (x, y) in enumerate(zip(left, right, strict=True)):
@@ -398,6 +398,8 @@ def near_join(
     shared = materialize(_shared(postings).withColumn("band", band), "shared")
 
     members = materialize(classes.select("gid", "key", "bits"), "members")
+    prefixes, rows = rows, materialize(rows.select("id", "n", "key"), "rows")
+    discard(prefixes)  # only the postings are read from now on
     # The star only finds links early, so a pair may be left to the second pass.
     pivots = shared.groupBy("token", "band").agg(F.min("gid").alias("pivot"))
     star = (
@@ -433,7 +435,7 @@ def near_join(
     named = classes.join(named, "key", "left").select("key", F.coalesce("least", "doc").alias("least"))
     named = materialize(named, "named")
     discard(shared, crowded, members, classes)
-    return _answers(rows.select("id", "n", "key"), named).withColumnsRenamed({"id": id_col, "n": "n_shingles"})
+    return _answers(rows, named).withColumnsRenamed({"id": id_col, "n": "n_shingles"})
 
 
 def _answers(rows: DataFrame, named: DataFrame) -> DataFrame:
