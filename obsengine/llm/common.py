@@ -1,9 +1,10 @@
 """Helpers that several operators of this subpackage share."""
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsengine.session import materialize
@@ -42,12 +43,36 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.R
             yield batch.slice(at, rows)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Jobs run inside move at most so many rows to Python at once.
+
+    For rows that carry whole texts or sets: both ends hold a batch, Spark's
+    buffers up to twice its size. The session's own number is set again after.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished jobs.
+
+    Spark deletes them when the driver's collector meets the plans of these
+    jobs, which is asked to run. Files that a live plan needs stay.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def discard(*tables: DataFrame) -> None:
-    """Delete stored scratch tables that nothing reads any more.
+    """Delete stored scratch tables that nothing reads any more, and free finished shuffles.
 
     Only for tables of ``materialize`` whose results are stored elsewhere; what
-    still reads one fails. Spark deletes the shuffle files of finished jobs when
-    the driver's collector meets their plans, which is asked to run.
+    still reads one fails.
     """
     for table in tables:
         files = table.inputFiles()
@@ -56,7 +81,7 @@ def discard(*tables: DataFrame) -> None:
             folder = context._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
             folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
     if tables:
-        tables[0].sparkSession.sparkContext._jvm.System.gc()
+        free_shuffles(tables[0].sparkSession)
 
 
 BITMAP_BITS = 23

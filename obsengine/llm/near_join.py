@@ -33,7 +33,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from obsengine.llm.common import bitmap, components, discard, possibly, slices, whole_row
+from obsengine.llm.common import (
+    arrow_rows,
+    bitmap,
+    components,
+    discard,
+    free_shuffles,
+    possibly,
+    slices,
+    whole_row,
+)
 from obsengine.llm.shingles import shingle_set
 from obsengine.session import materialize
 
@@ -77,7 +86,9 @@ def _rarity(docs: DataFrame, size: int) -> np.ndarray:
             yield pa.RecordBatch.from_pydict({"slice": [k], "levels": [level.tobytes()]})
 
     counted = docs.select("_bytes").mapInArrow(count, "slice bigint, counts binary")
-    rows = counted.repartition(32, "slice").mapInArrow(add, "slice bigint, levels binary").collect()
+    summed = counted.repartition(32, "slice").mapInArrow(add, "slice bigint, levels binary")
+    with arrow_rows(docs.sparkSession):
+        rows = summed.collect()
     table = np.zeros((SLICES, width), np.uint8)
     for row in rows:
         table[row["slice"]] = np.frombuffer(row["levels"], np.uint8)
@@ -88,13 +99,12 @@ def _key(values: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(values.tobytes())
 
 
-def _prefixes(docs: DataFrame, rarity, size: int, percent: int) -> DataFrame:
+def _prefixes(docs: DataFrame, rarity, common: int, size: int, percent: int) -> DataFrame:
     """Per row: id, n, the 128-bit key of its set, the 64-bit name of its group, its prefix
-    and how many of that are not very common."""
+    and how many of that are not very common, that is of a level up to ``common``."""
 
     def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = rarity.value
-        common = _common_level(level)
         for batch in slices(batches):
             sizes, keys, groups, parts, cold, bits = [], [], [], [], [], []
             for text in batch.column(1).to_pylist():
@@ -207,7 +217,9 @@ def _verified(
             )
 
     sets = texts.select("key", "_bytes").mapInArrow(rebuild, "key binary, set binary")
-    sets = materialize(sets if unique else sets.dropDuplicates(["key"]), "sets")
+    with arrow_rows(docs.sparkSession):
+        sets = materialize(sets if unique else sets.dropDuplicates(["key"]), "sets")
+    free_shuffles(docs.sparkSession)  # of the texts
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -225,9 +237,9 @@ def _verified(
     full = pairs.join(sets.select(F.col("key").alias("b"), F.col("set").alias("right")), "b").join(
         sets.select(F.col("key").alias("a"), F.col("set").alias("left")), "a"
     )
-    similar = materialize(
-        full.select("a", "b", "left", "right").mapInArrow(verify, "a binary, b binary"), "similar"
-    )
+    compared = full.select("a", "b", "left", "right").mapInArrow(verify, "a binary, b binary")
+    with arrow_rows(docs.sparkSession):
+        similar = materialize(compared, "similar")
     discard(pairs, wanted, sets)
     return similar
 
@@ -377,13 +389,19 @@ def near_join(
     is passed through and is never the smallest. Other columns are not read.
     """
     base = docs.select(F.col(id_col).alias("id"), F.col(text).cast("binary").alias("_bytes"))
-    rarity = docs.sparkSession.sparkContext.broadcast(_rarity(base, size))
-    rows = materialize(_prefixes(base, rarity, size, percent), "prefixes")
+    spark = docs.sparkSession
+    levels = _rarity(base, size)
+    free_shuffles(spark)  # of the counting tables
+    rarity = spark.sparkContext.broadcast(levels)
+    with arrow_rows(spark):
+        rows = materialize(_prefixes(base, rarity, _common_level(levels), size, percent), "prefixes")
+    rarity.unpersist()
     full = rows.filter("n > 0")
     classes = full.groupBy("key", "gid", "n", "bits").agg(F.min("id").alias("doc"))
     classes = materialize(classes, "classes")
 
     unique = rows.groupBy("id").count().filter("count > 1").isEmpty()
+    free_shuffles(spark)  # of the classes
 
     # Only groups of several rows are brought together to be made one.
     several = full.groupBy("gid").count().filter("count > 1").select("gid")
@@ -428,13 +446,15 @@ def near_join(
         if not nearest_only:
             pairs = pairs.union(_torn(members_at))
         links = links.union(_verified(base, classes, pairs, size, percent, unique))
+        if nearest_only:
+            discard(crowded)
         known = _known(links)
     linked = classes.join(known, "key")
     smallest = linked.groupBy("root").agg(F.min("doc").alias("least"))
     named = linked.join(smallest, "root").select("key", "least")
     named = classes.join(named, "key", "left").select("key", F.coalesce("least", "doc").alias("least"))
     named = materialize(named, "named")
-    discard(shared, crowded, members, classes)
+    discard(shared, members, classes)
     return _answers(rows, named).withColumnsRenamed({"id": id_col, "n": "n_shingles"})
 
 

@@ -10,7 +10,7 @@ _MIX = np.uint64(0xBF58476D1CE4E5B9)
 class WordHashes(dict):
     """Hash of each word (bytes), remembered for a bounded number of words."""
 
-    LIMIT = 500_000
+    LIMIT = 100_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
