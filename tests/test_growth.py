@@ -279,3 +279,72 @@ def test_clusters_of_folded_rows_cost_no_more(days):
     centres = rows.groupBy("cluster").agg(F.array(*centre).alias("centre"))
     squares = sum(F.pow(F.col("scaled_features")[i] - F.col("centre")[i], F.lit(2.0)) for i in range(3))
     assert rows.join(centres, "cluster").agg(F.sum(squares)).first()[0] <= plain * 1.01
+
+
+# Forests of many folded rows
+
+
+def station_days(spark, n):
+    """Days of one place whose altitude differs in every row."""
+    return spark.range(n).selectExpr(
+        "'a' AS city_name", "date_add(DATE'2024-01-01', int(id % 60)) AS date", "id % 60 % 9 * 2.5D AS precipitation",
+        "id * 0.001D AS altitude", "id % 60 % 7 * 1.0D AS temp_min", "id % 60 % 11 * 1.0D AS temp_max",
+        "dayofyear(date_add(DATE'2024-01-01', int(id % 60))) AS day_of_year",
+    )
+
+
+def stored_tables(monkeypatch):
+    """The intermediate tables of the models, by name, as they are stored."""
+    found = {}
+
+    def keep(df, name):
+        found[name] = materialize(df, name)
+        return found[name]
+
+    monkeypatch.setattr(models, "materialize", keep)
+    return found
+
+
+def test_forests_of_many_rows_are_fitted_on_folded_bins(spark, monkeypatch):
+    days = station_days(spark, 30_000)
+    names = ("city_name", "date", "temp_max")
+    plain = models.temperature_model(days, seed=1, trees=3, depth=4)
+    monkeypatch.setattr(models, "BINNED_ABOVE", 10)
+    tables = stored_tables(monkeypatch)
+    binned = models.temperature_model(days, seed=1, trees=3, depth=4)
+    assert multiset(binned.rows.select(*names)) == multiset(plain.rows.select(*names))
+    train, _ = splits.hash_split(days)
+    fitted = tables["temperature-rows-binned"]
+    assert fitted.agg(F.sum("weight")).first()[0] == train.count()
+    assert fitted.select("altitude").distinct().count() == models.BINS
+    assert fitted.count() <= 60 * models.BINS < train.count() / 2
+    assert binned.metrics.first().rmse <= 1.1 * plain.metrics.first().rmse
+    again = models.temperature_model(days, seed=1, trees=3, depth=4)
+    assert multiset(again.rows) == multiset(binned.rows)
+
+
+def test_bins_keep_few_values_apart_and_nulls(frame):
+    nan = float("nan")
+    df = frame("a double, b double, c double", *((float(n), float(n % 3), 5.0) for n in range(500)), (None, nan, 5.0))
+    edges = models.bin_edges(df, ["a", "b", "c"], bins=4)
+    assert edges["b"] == [0.0, 1.0, 2.0]
+    assert edges["c"] == [5.0] and len(edges["a"]) == 4
+    rows = models.with_bins(df, edges)
+    assert rows.columns == ["a", "b", "c"]
+    assert rows.filter("a IS NULL").count() == 1 and rows.filter("c = 5").count() == 501
+    assert rows.groupBy("a").count().filter("a IS NOT NULL AND abs(count - 125) > 2").isEmpty()
+    assert rows.filter("a IS NULL").first().b == len(edges["b"])
+    none = df.limit(0)
+    assert models.with_bins(none, models.bin_edges(none, ["a", "b"])).count() == 0
+
+
+def test_scored_rows_are_stored_folded(spark, monkeypatch):
+    one = station_days(spark, 600).withColumns({"temp_avg": F.col("temp_max") / 2, "temp_range": F.col("temp_max") + 1})
+    days = one.withColumn("copy", F.explode(F.array_repeat(F.lit(0), 50))).drop("copy")
+    tables = stored_tables(monkeypatch)
+    rows, metrics = models.weather_clusters(days, seed=1)
+    assert rows.count() == 30_000 == metrics.first().total_records
+    assert tables["clusters"].count() <= 600
+    rows, metrics = models.temperature_model(days, seed=1, trees=2, depth=3)
+    assert metrics.first().predictions_count == rows.count() == tables["temperatures"].agg(F.sum("weight")).first()[0]
+    assert tables["temperatures"].count() <= 600
