@@ -1,6 +1,7 @@
 """Raw inputs to trusted rows."""
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -22,7 +23,8 @@ def run_etl(
 
     The counts are observed while the rows are written: the plan runs once.
     """
-    return _reported(write_trusted, enrich(observations, cities, stations, alerts, **options), path)
+    write = partial(write_trusted, by_date=True)
+    return _reported(write, enrich(observations, cities, stations, alerts, by_date=True, **options), path)
 
 
 def merge_etl(
@@ -37,7 +39,7 @@ def merge_etl(
 
     The report counts the merged rows, not those that were there before.
     """
-    return _reported(merge_trusted, enrich(observations, cities, stations, alerts, **options), path)
+    return _reported(merge_trusted, enrich(observations, cities, stations, alerts, by_date=True, **options), path)
 
 
 def _reported(

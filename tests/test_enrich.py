@@ -1,10 +1,14 @@
+import pytest
 from conftest import multiset
 from pyspark.sql import functions as F
 
 from obsengine import fixtures, schemas
 from obsengine.functions import columns as fn
 from obsengine.operators import joins
+from obsengine.operators.joins import BROADCAST_LIMIT
 from obsengine.plans.enrich import CITY_BAND, STATION_BAND, enrich
+from obsengine.sources.readers import read_trusted
+from obsengine.sources.writers import write_trusted
 
 INPUTS = ("obs_daily", "cities", "stations", "alerts")
 
@@ -77,3 +81,22 @@ def test_facts_are_not_shuffled(spark, sf_dir, plan):
     final = text.split("Initial Plan")[0]
     # The only shuffle is the aggregation that makes the daily test view.
     assert final.count("hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("limit", [BROADCAST_LIMIT, 0])
+def test_rows_of_one_task_are_dealt_by_date_and_written_whole(spark, sf_dir, tmp_path, limit):
+    one_task = [df.coalesce(1) for df in inputs(spark, sf_dir)]
+    one_task[0] = one_task[0].filter("date < DATE'1997-03-01' OR date IS NULL")
+    rows = enrich(*one_task, broadcast_limit=limit, by_date=True)
+    by_task = rows.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n")).collect()
+    # Beyond the limit the rows are dealt when they are many, at run time.
+    assert limit == 0 or len(by_task) > 1 and max(t.n for t in by_task) < sum(t.n for t in by_task) / 2
+    write_trusted(rows, str(tmp_path / "t"), by_date=True)
+    assert multiset(read_trusted(spark, str(tmp_path / "t"))) == multiset(rows)
+    assert all(len(list(day.glob("*.parquet"))) <= 2 for day in (tmp_path / "t").glob("date=*"))
+
+
+def test_rows_dealt_by_date_are_written_without_another_shuffle(spark, sf_dir, plan):
+    text = plan(enrich(*inputs(spark, sf_dir), by_date=True))
+    final = text.split("Initial Plan")[0]
+    assert final.count("rangepartitioning(date") == 1 and "hashpartitioning" not in final
