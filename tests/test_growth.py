@@ -2,6 +2,7 @@
 
 import json
 from datetime import date
+from functools import partial
 from pathlib import Path
 
 import pytest
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from obsengine import schemas
 from obsengine.operators import aggregates, models, quartiles, splits
 from obsengine.session import materialize
+from obsengine.plans import ml
 from obsengine.plans.lookup import lookup
 from obsengine.sources import catalog, deltas, profiles, readers, writers
 
@@ -348,3 +350,22 @@ def test_scored_rows_are_stored_folded(spark, monkeypatch):
     rows, metrics = models.temperature_model(days, seed=1, trees=2, depth=3)
     assert metrics.first().predictions_count == rows.count() == tables["temperatures"].agg(F.sum("weight")).first()[0]
     assert tables["temperatures"].count() <= 600
+
+
+def test_a_run_of_all_models_stores_no_more_than_they_read(spark, monkeypatch):
+    days = station_days(spark, 600).withColumns({
+        "temp_avg": F.col("temp_max") / 2, "temp_range": F.col("temp_max") + 1, "month": F.month("date"),
+        "year": F.year("date"), "station_name": F.lit("a station"), "population": F.lit(1),
+    })
+    stored = {}
+    monkeypatch.setattr(ml, "materialize", lambda df, name: stored.setdefault(name, materialize(df, name)))
+    monkeypatch.setattr(models, "prepare_ml", lambda df: df)
+    monkeypatch.setattr(models, "temperature_model", partial(models.temperature_model, trees=2, depth=2))
+    monkeypatch.setattr(models, "precipitation_model", partial(models.precipitation_model, trees=2, depth=2))
+    out = ml.ml_run(days, seed=1)
+    assert set(stored) == {"model-input"}
+    assert set(stored["model-input"].columns) <= set(models.INPUT_NAMES) and stored["model-input"].count() == 600
+    counts = {r.model_type: r.predictions_count for r in out["summary"].collect()}
+    _, test = splits.hash_split(days)
+    assert counts["temperature_prediction"] == counts["precipitation_classification"] == test.count()
+    assert out["weather_clusters"].count() == 600
