@@ -325,6 +325,53 @@ def test_forests_of_many_rows_are_fitted_on_folded_bins(spark, monkeypatch):
     assert multiset(again.rows) == multiset(binned.rows)
 
 
+def test_sides_are_asked_once_per_day_and_bins_scored_once(spark, monkeypatch):
+    """The digest of a day and the score of a row's bins are made once, not once per row."""
+    days = station_days(spark, 30_000)
+    asked, real = spark.sparkContext.accumulator(0), models.in_training
+
+    def counted(keys, **options):
+        @F.udf("boolean")
+        def seen(value):
+            asked.add(1)
+            return value
+
+        return seen(real(keys, **options))
+
+    monkeypatch.setattr(models, "in_training", counted)
+    monkeypatch.setattr(models, "BINNED_ABOVE", 10)
+    tables = stored_tables(monkeypatch)
+    rows = models.temperature_model(days, seed=1, trees=3, depth=4).rows
+    keys = days.select("city_name", "date").distinct().count()
+    assert 0 < asked.value <= 2 * keys < 30_000 / 10
+    _, test = splits.hash_split(days)
+    assert rows.count() == test.count()
+    assert tables["temperatures-kinds"].count() < test.count() / 2
+
+
+def test_split_and_scores_of_null_keys(frame):
+    rows = [("a", "x", 1.0), (None, "x", 2.0), ("a", None, 3.0), (None, None, None)]
+    df = frame("city_name string, date string, v double", *rows).withColumn("weight", F.lit(1))
+    dealt = models._with_sides(df, "odd", 42)
+    assert multiset(dealt) == multiset(df.withColumn("_train", splits.in_training(models.ROW_KEYS)))
+    known = df.selectExpr("v", "v + 1 AS more")
+    assert multiset(models._looked_up(df, known, ["v"])) == multiset(df.withColumn("more", F.col("v") + 1))
+
+
+def test_only_columns_of_many_values_are_sketched(spark, monkeypatch):
+    df = spark.range(2000).selectExpr("id * 1.0D AS a", "id % 7 * 1.0D AS b")
+    sketched, real = [], type(df).approxQuantile
+
+    def noted(self, names, *options):
+        sketched.extend(names)
+        return real(self, names, *options)
+
+    monkeypatch.setattr(type(df), "approxQuantile", noted)
+    edges = models.bin_edges(df, ["b", "a"], bins=8)
+    assert sketched == ["a"] and list(edges) == ["b", "a"]
+    assert edges["b"] == [float(n) for n in range(7)] and len(edges["a"]) == 8
+
+
 def test_bins_keep_few_values_apart_and_nulls(frame):
     nan = float("nan")
     df = frame("a double, b double, c double", *((float(n), float(n % 3), 5.0) for n in range(500)), (None, nan, 5.0))
