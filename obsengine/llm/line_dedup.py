@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsengine.llm.common import bitmap, discard, possibly, slices, whole_row
+from obsengine.llm.common import bitmap, discard, free_shuffles, possibly, slices, whole_row
 from obsengine.llm.shingles import word_hashes
 from obsengine.session import materialize
 
@@ -149,8 +149,8 @@ def _line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.mapInArrow(pick, f"key binary, doc {_kind(docs)}, line bigint, body binary")
 
 
-def _near_drops(lines: DataFrame) -> tuple[DataFrame, tuple[DataFrame, ...]]:
-    """(doc, line) of the lines with an earlier line within distance 1, and the stored tables it reads."""
+def _near_drops(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc, line) of the lines with an earlier line within distance 1, and the stored pairs it reads."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -184,6 +184,7 @@ def _near_drops(lines: DataFrame) -> tuple[DataFrame, tuple[DataFrame, ...]]:
         .filter("first < me").distinct()
     )
     pairs = materialize(met.select("me", F.col("first.key").alias("other"), F.col("me.key").alias("key")), "pairs")
+    discard(rows)
     bodies = lines.select("key", "body")
     full = pairs.join(bodies.select(F.col("key").alias("other"), F.col("body").alias("before")), "other")
     full = full.join(bodies, "key").select("me.doc", "me.line", "body", "before")
@@ -195,7 +196,7 @@ def _near_drops(lines: DataFrame) -> tuple[DataFrame, tuple[DataFrame, ...]]:
             places = batch.select([0, 1])
             yield places.take(pa.array(kept, pa.int64()))
 
-    return full.mapInArrow(verify, f"doc {_kind(lines)}, line bigint").distinct(), (rows, pairs)
+    return full.mapInArrow(verify, f"doc {_kind(lines)}, line bigint").distinct(), pairs
 
 
 def dedup_lines(
@@ -231,8 +232,11 @@ def dedup_lines(
         .filter("again OR doc <> d0 OR line <> l0")
         .select("doc", "line", F.lit(0).alias("near"))
     )
+    exact = materialize(exact, "exact")
     wanted = materialize(_near_candidates(firsts), "candidates")
+    discard(lines, firsts)  # before the variants, which take most room
     texts = materialize(_line_texts(base, wanted), "bodies")
+    free_shuffles(docs.sparkSession)  # of the texts
     found, spent = _near_drops(texts)
     near = found.withColumn("near", F.lit(1))
     drops = exact.union(near).groupBy("doc", "line").agg(F.min("near").alias("near"))
@@ -244,7 +248,7 @@ def dedup_lines(
         "drops",
     )
 
-    discard(lines, firsts, wanted, texts, *spent)
+    discard(exact, wanted, texts, spent)
     marked = possibly(shown, F.col("doc"), bitmap(drops.select("doc"), "doc"))
     parts = F.split("_text", "\n")
     kept = F.filter(parts, lambda _, i: ~F.array_contains("_gone", i.cast("long")))

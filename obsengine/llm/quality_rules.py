@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obsengine.llm.common import SPACES, let, whole_row, words_of
+from obsengine.llm.common import SPACES, bitmap, discard, let, possibly, whole_row, words_of
 from obsengine.session import materialize
 
 SYMBOLS = "#*$%&|<>"
@@ -304,10 +304,21 @@ def quality_rules(docs: DataFrame, labels: DataFrame, carry: tuple[str, ...] = (
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that :func:`quality_rules` keeps, with all their columns.
 
-    Texts are measured once: the statistics are stored together with the rows.
+    Texts are measured once. Statistics are stored without the rows, which are
+    read again without those rejected; where ids repeat or are null, they are
+    stored together with the rows.
     """
-    found = quality_rules(
-        docs.select(whole_row(docs), "doc_id", "text"), labels, carry=("row", "doc_id")
-    )
-    kept = found.filter("kept")
+    ids = docs.groupBy(F.col("doc_id").alias("id")).count()
+    if not ids.filter("count > 1 OR id IS NULL").isEmpty():
+        found = quality_rules(docs.select(whole_row(docs), "doc_id", "text"), labels, carry=("row", "doc_id"))
+        kept = found.filter("kept")
+    else:
+        found = quality_rules(docs.select("doc_id", "text"), labels)
+        rejected = ~F.coalesce("kept", F.lit(False))
+        gone = materialize(found.filter(rejected).select(F.col("doc_id").alias("id")), "rejected")
+        discard(found)  # the statistics
+        marked = possibly(docs.select(F.col("doc_id").alias("id"), whole_row(docs)), F.col("id"), bitmap(gone, "id"))
+        kept = marked.filter(~F.col("_possible")).select("row").union(
+            marked.filter("_possible").join(gone, "id", "left_anti").select("row")
+        )
     return kept.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))

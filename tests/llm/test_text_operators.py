@@ -278,3 +278,33 @@ def test_components_of_a_long_chain_and_a_star(spark):
     nodes = spark.createDataFrame([(i,) for i in [*range(41), *range(100, 160), 999]], "node bigint")
     found = components(nodes, spark.createDataFrame(links, "a bigint, b bigint"))
     assert {r.node: r.root for r in found.collect()} == {n: 0 if n < 41 else 100 if n < 160 else n for n in [*range(41), *range(100, 160), 999]}
+
+
+def test_keep_good_stores_no_texts_where_ids_are_clear(spark, odd_docs, monkeypatch):
+    stored, real = {}, quality_rules.materialize
+
+    def keep(df, name):
+        stored[name] = df.columns
+        return real(df, name)
+
+    monkeypatch.setattr(quality_rules, "materialize", keep)
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id bigint, quality int")
+    words = " ".join(f"word{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, words), (2, None), (3, "few words"), (4, words + " more")], "doc_id bigint, text string")
+    assert sorted(r.doc_id for r in quality_rules.keep_good(docs, labels).collect()) == [1, 4]
+    assert not {"row", "text"} & {c for columns in stored.values() for c in columns}
+    quality_rules.keep_good(odd_docs, labels).count()  # ids repeat: stored with the rows
+    assert "row" in stored["statistics"]
+
+
+def test_line_tables_are_gone_before_variants(spark, monkeypatch):
+    events = []
+    real_store, real_drop = line_dedup.materialize, line_dedup.discard
+    monkeypatch.setattr(line_dedup, "materialize", lambda df, name: events.append(name) or real_store(df, name))
+    monkeypatch.setattr(line_dedup, "discard", lambda *t: events.append(f"discard {len(t)}") or real_drop(*t))
+    line = "a b c d e f g h i j k l"
+    docs = spark.createDataFrame([(1, line), (2, line + " m"), (3, line)], "doc_id bigint, text string")
+    got = {r.row.doc_id: (r.n_exact, r.n_near) for r in line_dedup.dedup_lines(docs).collect()}
+    assert got == {1: (0, 0), 2: (0, 1), 3: (1, 0)}
+    assert events.index("discard 2") < events.index("variants") < events.index("pairs")
+    assert events[events.index("pairs") + 1] == "discard 1"
