@@ -16,6 +16,7 @@ import numpy as np
 
 #: White space outside ASCII, and ASCII controls that libraries class differently.
 _UNCLEAR = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -‍ -  ⁠　﻿]")
+_CONTROLS = "\x1c\x1d\x1e\x1f"
 #: How the byte-level file cuts white space: the last space before a word goes with the word.
 _RUNS = re.compile(r" ?[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+(?![^ \t\n\r\x0b\x0c])|[ \t\n\r\x0b\x0c]+")
 _LINES = re.compile("(\n+)")
@@ -93,6 +94,11 @@ class PieceEncoder:
                 shown = piece.replace(" ", _BYTES[32])
                 found = array("I", [t.id for t in self._model.tokenize(shown)]).tobytes()
             return found
+        if word.isascii() and word[:-1].isalpha() and "!" <= word[-1] <= "~" and not word[-1].isdigit():
+            # A word and one mark after it, which all patterns cut there.
+            if not self._spaced:
+                piece = piece.lower()
+            return self._cut_out[piece[:-1]] + self._cut_out[piece[-1]]
         if not _PLAIN(piece):
             return self._by_library(piece)
         parts = _SPACED_SPLIT(piece) if self._spaced else _LOWER_SPLIT(piece.lower())
@@ -106,7 +112,9 @@ class PieceEncoder:
         return np.frombuffer(self._packed(text), "<u4")
 
     def _packed(self, text: str) -> bytes:
-        if _UNCLEAR.search(text) or any(s in text for s in self._special):
+        # In ASCII only four controls are unclear; a search for each is much faster than one for the class.
+        unclear = any(c in text for c in _CONTROLS) if text.isascii() else _UNCLEAR.search(text)
+        if unclear or any(s in text for s in self._special):
             return self._by_library(text)
         if not self._spaced:
             return b"".join(map(self._bare.__getitem__, text.split()))

@@ -9,7 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from obsengine.llm import packing, queries, sentence_pieces, token_files
+from obsengine.llm import packing, queries, sentence_pieces, token_files, tokens
 from obsengine.llm.tokens import PieceEncoder
 
 FILES = {"byte_bpe_50k.json": True, "word_bpe_49k.json": False}
@@ -270,3 +270,15 @@ def test_sentence_pieces_of_odd_rows(odd_docs, no_docs, model_file):
     assert len(rows) == odd_docs.count()
     assert {r.doc_id for r in rows if r.ids == [] and r.decoded == ""} == {2, 3}
     assert sentence_pieces.encode_pieces(no_docs, model_file).count() == 0
+
+
+@pytest.mark.parametrize("name, spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_marks_after_words_need_no_pattern(name, spaced, monkeypatch):
+    encoder = tokens.PieceEncoder(queries.tokenizer_file(name), spaced)
+    texts = ["Word, word. a! It' don't (x) y_ 3, z3 z\x1c", "end.\nNEXT; x\x01 q\x7f", "a,b c,, é, e\x1f!"]
+    for text in texts:
+        assert encoder.encode(text).tolist() == encoder._tokenizer.encode(text, add_special_tokens=False).ids
+    for split in ("_SPACED_SPLIT", "_LOWER_SPLIT"):
+        monkeypatch.setattr(tokens, split, lambda piece: pytest.fail("cut by the pattern"))
+    fresh = tokens.PieceEncoder(queries.tokenizer_file(name), spaced)
+    assert len(fresh.encode("Word, word. a!"))
