@@ -8,6 +8,7 @@ all three gates, so no product is needed for it.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,6 +16,8 @@ import numpy as np
 HIDDEN = 16
 CLASS_SIZE = 64
 WINDOW = 32
+#: Steps of a window whose factors are computed together.
+STEPS = 8
 
 
 @dataclass
@@ -34,12 +37,16 @@ class Model:
     def packed(self) -> np.ndarray:
         return np.concatenate([p.reshape(-1) for p in self.parts()]).astype(np.float32)
 
-    def unpacked(self, flat: np.ndarray) -> Model:
+    def views(self, flat: np.ndarray) -> list[np.ndarray]:
+        """What belongs to each of the parts in an array of all."""
         out, at = [], 0
         for p in self.parts():
-            out.append(flat[at : at + p.size].reshape(p.shape).astype(np.float32))
+            out.append(flat[at : at + p.size].reshape(p.shape))
             at += p.size
-        return Model(*out)
+        return out
+
+    def unpacked(self, flat: np.ndarray) -> Model:
+        return Model(*(p.astype(np.float32) for p in self.views(flat)))
 
 
 def initial(word_counts: np.ndarray, tail_counts: np.ndarray, seed: int = 1) -> Model:
@@ -65,127 +72,247 @@ def initial(word_counts: np.ndarray, tail_counts: np.ndarray, seed: int = 1) ->
     )
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+def forward(m: Model, x: np.ndarray, fresh: np.ndarray, h: np.ndarray):
+    """States after each of the steps x (time, lane), the last ones, and what gradients need of the way there.
 
-
-def forward(m: Model, x: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: bool = False):
-    """States after each of the steps x (time, lane); where ``fresh``, a lane starts from zero."""
+    Where ``fresh``, a lane starts from zero.
+    """
     steps, lanes = x.shape
-    states = np.empty((steps, lanes, HIDDEN), np.float32)
-    trace = []
-    for t in range(steps):
-        if fresh[t].any():
-            h = np.where(fresh[t][:, None], np.float32(0), h)
-        a = m.gates[x[t]]
-        u = h @ m.state
-        zr = _sigmoid(a[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN])
-        z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-        n = np.tanh(a[:, 2 * HIDDEN :] + r * u[:, 2 * HIDDEN :])
-        before, h = h, n + z * (h - n)
-        states[t] = h
-        if keep:
-            trace.append((before, z, r, n, u[:, 2 * HIDDEN :]))
-    return states, h, trace
-
-
-def _softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(1, keepdims=True)
-    np.exp(logits, out=logits)
-    logits /= logits.sum(1, keepdims=True)
+    both = 2 * HIDDEN
+    # Update and reset gates side by side, negated for the logistic function.
+    zr, n = -m.gates[:, :both][x], m.gates[:, both:][x]
+    to_gates, to_new = -m.state[:, :both], np.ascontiguousarray(m.state[:, both:])
+    before, states = (np.empty((steps, lanes, HIDDEN), np.float32) for _ in range(2))
+    un = np.empty((steps, lanes, HIDDEN), np.float32)
+    starts = fresh.any(1).tolist()
+    with np.errstate(over="ignore"):  # a gate of 1 / inf is 0
+        for t in range(steps):
+            now, gates, new, out = before[t], zr[t], n[t], states[t]
+            now[:] = h
+            if starts[t]:
+                now[fresh[t]] = 0
+            gates += now @ to_gates
+            np.exp(gates, out=gates)
+            gates += 1
+            np.reciprocal(gates, out=gates)
+            np.matmul(now, to_new, out=un[t])
+            new += gates[:, HIDDEN:] * un[t]
+            np.tanh(new, out=new)
+            np.subtract(now, new, out=out)
+            out *= gates[:, :HIDDEN]
+            out += new
+            h = out
+    return states, h, (before, zr, n, un)
+
+
+def _shift(weights: np.ndarray, bias: np.ndarray, reach: float) -> np.ndarray | None:
+    """What may be taken from all logits instead of each row's largest, for states up to ``reach``.
+
+    None if that could overflow or leave a row nothing but zeros.
+    """
+    spread = reach * np.abs(weights).sum(-2)
+    high, low = (bias + spread).max(-1), (bias - spread).max(-1)  # the largest logit of any row is between
+    return (high + low) / 2 if (high - low).max(initial=0) < 150 else None
+
+
+def _with_bias(weights: np.ndarray, bias: np.ndarray, shift: np.ndarray | None) -> np.ndarray:
+    """Weights of states with a last column of ones."""
+    if shift is not None:
+        bias = bias - shift[..., None]
+    return np.concatenate([weights, bias[..., None, :]], -2)
+
+
+class _Output:
+    """Both softmax layers on states in the order of their classes."""
+
+    #: Rows at a time, so that their logits stay near the processor.
+    ROWS = 512
+
+    def __init__(self, m: Model, h: np.ndarray, cls: np.ndarray, word: np.ndarray, rows: np.ndarray | None = None):
+        """``rows``: those that count, all by default."""
+        if rows is None:
+            rows = np.arange(len(cls))
+        self.order = rows[np.argsort(cls[rows].astype(np.uint16), kind="stable")]
+        self.cls, self.word = cls[self.order], word[self.order]
+        self.states = np.ones((len(rows), HIDDEN + 1), np.float32)
+        self.states[:, :HIDDEN] = h[self.order]
+        reach = float(np.abs(self.states).max(initial=0))
+        shift = _shift(m.classes, m.class_bias, reach)
+        self._safe_top, self._top = shift is not None, _with_bias(m.classes, m.class_bias, shift)
+        shift = _shift(m.words, m.word_bias, reach)
+        self._safe_words, self._words = shift is not None, _with_bias(m.words, m.word_bias, shift)
+        ends = np.searchsorted(self.cls, np.arange(len(m.words) + 1)).tolist()
+        #: Shortlist class and its rows, for each that occurs.
+        self.groups = [(k, slice(a, b)) for k, (a, b) in enumerate(zip(ends, ends[1:])) if b > a]
+        self.short = ends[-1]
+
+    def class_logits(self) -> Iterator[tuple[slice, np.ndarray]]:
+        logits = np.empty((self.ROWS, self._top.shape[1]), np.float32)
+        for at in range(0, len(self.cls), self.ROWS):
+            rows = slice(at, min(at + self.ROWS, len(self.cls)))
+            found = np.matmul(self.states[rows], self._top, out=logits[: rows.stop - at])
+            yield rows, _below(found, self._safe_top)
+
+    def word_logits(self) -> np.ndarray:
+        logits = np.empty((self.short, CLASS_SIZE), np.float32)
+        for k, rows in self.groups:
+            np.matmul(self.states[rows], self._words[k], out=logits[rows])
+        return _below(logits, self._safe_words)
+
+
+def _below(logits: np.ndarray, safe: bool) -> np.ndarray:
+    """Logits that the exponential function takes."""
+    if not safe:
+        logits -= logits.max(1, keepdims=True)
     return logits
 
 
+def _sums(values: np.ndarray) -> np.ndarray:
+    return values @ np.ones(values.shape[1], np.float32)
+
+
 def _log_at(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """Log-softmax of each row at its chosen column."""
-    logits -= logits.max(1, keepdims=True)
     out = logits[np.arange(len(logits)), chosen].astype(np.float64)
-    return out - np.log(np.exp(logits, out=logits).sum(1))
+    return out - np.log(_sums(np.exp(logits, out=logits)))
 
 
-def _by_class(cls: np.ndarray, shortlist: int):
-    """Rows of each shortlist class that occurs."""
-    order = np.argsort(cls, kind="stable")
-    ends = np.searchsorted(cls[order], np.arange(shortlist + 1))
-    for k in np.flatnonzero(ends[1:] > ends[:-1]):
-        yield k, order[ends[k] : ends[k + 1]]
+def _softmax_less(logits: np.ndarray, chosen: np.ndarray, weight: np.float32) -> np.ndarray:
+    """``weight`` times the softmax of each row, less the same at its chosen column: the loss by the logits."""
+    np.exp(logits, out=logits)
+    logits *= (weight / _sums(logits))[:, None]
+    logits[np.arange(len(logits)), chosen] -= weight
+    return logits
 
 
 def log_probs(m: Model, h: np.ndarray, cls: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Natural log-probability of the class, and of the word in it for shortlist classes, given states."""
-    out = _log_at(h @ m.classes + m.class_bias, cls)
-    for k, at in _by_class(cls, len(m.words)):
-        out[at] += _log_at(h[at] @ m.words[k] + m.word_bias[k], word[at])
+    top = _Output(m, h, cls, word)
+    found = np.empty(len(cls))
+    for rows, logits in top.class_logits():
+        found[rows] = _log_at(logits, top.cls[rows])
+    found[: top.short] += _log_at(top.word_logits(), top.word[: top.short])
+    out = np.empty(len(cls))
+    out[top.order] = found
     return out
 
 
-def gradients(m: Model, x, fresh, h, cls, word, used):
-    """Gradients of the mean negative log-probability over one window, and the last states."""
-    states, last, trace = forward(m, x, fresh, h, keep=True)
-    flat = states.reshape(-1, HIDDEN)
-    weight = (used.reshape(-1) / max(1, used.sum())).astype(np.float32)
-    rows = np.flatnonzero(weight)
-    g = [np.zeros_like(p) for p in m.parts()]
-    dh_all = np.zeros_like(flat)
-    c, w = cls.reshape(-1)[rows], word.reshape(-1)[rows]
-    hs, wt = flat[rows], weight[rows][:, None]
-    d = _softmax(hs @ m.classes + m.class_bias)
-    d[np.arange(len(rows)), c] -= 1
-    d *= wt
-    g[2] += hs.T @ d
-    g[3] += d.sum(0)
-    dh = d @ m.classes.T
-    for k, at in _by_class(c, len(m.words)):
-        d = _softmax(hs[at] @ m.words[k] + m.word_bias[k])
-        d[np.arange(len(at)), w[at]] -= 1
-        d *= wt[at]
-        g[4][k] += hs[at].T @ d
-        g[5][k] += d.sum(0)
-        dh[at] += d @ m.words[k].T
-    dh_all[rows] = dh
-    dh_all = dh_all.reshape(states.shape)
+def gradients(m: Model, x, fresh, h, cls, word, used, out: list[np.ndarray] | None = None):
+    """Gradients of the mean negative log-probability over one window, and the last states.
+
+    ``out``: zeros in the shapes of the model's parts, to be filled.
+    """
+    states, last, (before, zr, n, un) = forward(m, x, fresh, h)
+    g = [np.zeros_like(p) for p in m.parts()] if out is None else out
+    rows = np.flatnonzero(used)
+    weight = np.float32(1 / max(1, len(rows)))
+    top = _Output(m, states.reshape(-1, HIDDEN), cls.reshape(-1), word.reshape(-1), rows)
+    dh = np.empty((len(rows), HIDDEN), np.float32)
+    for at, logits in top.class_logits():
+        d = _softmax_less(logits, top.cls[at], weight)
+        both = top.states[at].T @ d
+        g[2] += both[:HIDDEN]
+        g[3] += both[HIDDEN]
+        np.matmul(d, m.classes.T, out=dh[at])
+    d = _softmax_less(top.word_logits(), top.word[: top.short], weight)
+    for k, at in top.groups:
+        both = top.states[at].T @ d[at]
+        g[4][k], g[5][k] = both[:HIDDEN], both[HIDDEN]
+        dh[at] += d[at] @ m.words[k].T
+    by_state = np.zeros((states.size // HIDDEN, HIDDEN), np.float32)
+    by_state[top.order] = dh
+    by_state = by_state.reshape(states.shape)
+    du, back, starts = np.empty((*x.shape, 3, HIDDEN), np.float32), np.ascontiguousarray(m.state.T), fresh.any(1).tolist()
     carried = np.zeros_like(last)
-    inputs = np.empty((*x.shape, 3 * HIDDEN), np.float32)
-    for t in range(len(x) - 1, -1, -1):
-        before, z, r, n, un = trace[t]
-        dh = dh_all[t] + carried
-        dz = dh * (before - n) * z * (1 - z)
-        dn = dh * (1 - z) * (1 - n * n)
-        dr = dn * un * r * (1 - r)
-        inputs[t] = np.concatenate([dz, dr, dn], 1)
-        du = np.concatenate([dz, dr, dn * r], 1)
-        g[1] += before.T @ du
-        carried = dh * z + du @ m.state.T
-        if fresh[t].any():
-            carried = np.where(fresh[t][:, None], np.float32(0), carried)
+    for begin in range((len(x) - 1) // STEPS * STEPS, -1, -STEPS):
+        now = slice(begin, begin + STEPS)
+        z, r, new = zr[now, :, :HIDDEN], zr[now, :, HIDDEN:], n[now]
+        # What a change of a state is multiplied by for each of the three gates; only the sums go step by step.
+        by_new = new * new
+        np.subtract(1, by_new, out=by_new)
+        keep = 1 - z
+        by_new *= keep
+        keep *= z
+        keep *= before[now] - new
+        reset = by_new * r
+        factor = du[now]
+        factor[:, :, 0] = keep
+        factor[:, :, 2] = reset
+        reset *= un[now]
+        reset *= 1 - r
+        factor[:, :, 1] = reset
+        for t in range(min(begin + STEPS, len(x)) - 1, begin - 1, -1):
+            dh = by_state[t]
+            dh += carried
+            du[t] *= dh[:, None]
+            np.matmul(du[t].reshape(-1, 3 * HIDDEN), back, out=carried)
+            carried += dh * z[t - begin]
+            if starts[t]:
+                carried[fresh[t]] = 0
+        g[1] += before[now].reshape(-1, HIDDEN).T @ factor.reshape(-1, 3 * HIDDEN)
+        np.multiply(by_state[now], by_new, out=factor[:, :, 2])
     ids = x.reshape(-1)
-    order = np.argsort(ids, kind="stable")
+    order = np.argsort(ids.astype(np.uint16) if len(m.gates) <= 1 << 16 else ids, kind="stable")
     first = np.flatnonzero(np.diff(ids[order], prepend=-1))
-    g[0][ids[order][first]] = np.add.reduceat(inputs.reshape(-1, 3 * HIDDEN)[order], first)
+    _add_runs(g[0], ids[order[first]], du.reshape(-1, 3 * HIDDEN), order, first)
     return g, last
 
 
+def _add_runs(
+    out: np.ndarray, ids: np.ndarray, rows: np.ndarray, order: np.ndarray, first: np.ndarray, short: int = 8
+) -> None:
+    """Add to ``out`` at each id the sum of its rows, a run in ``order`` that begins at one of ``first``.
+
+    Many short runs and a few long ones: the former are added place by place, each of the latter at once.
+    """
+    sizes = np.diff(np.append(first, len(order)))
+    longest_first = np.argsort(-sizes, kind="stable")
+    ids, first, sizes = ids[longest_first], first[longest_first], sizes[longest_first]
+    sums = rows[order[first]]
+    long = int(np.count_nonzero(sizes > short))
+    for k, (at, n) in enumerate(zip(first[:long].tolist(), sizes[:long].tolist(), strict=True)):
+        np.matmul(np.ones(n, np.float32), rows[order[at : at + n]], out=sums[k])
+    for k in range(1, short):
+        some = int(np.count_nonzero(sizes > k))
+        sums[long:some] += rows[order[first[long:some] + k]]
+    out[ids] += sums
+
+
 class Trainer:
     """Adam over windows. A step on fewer than ``full`` words is shorter, by the root of their share."""
 
+    #: Weights at a time, so that all that belongs to them stays near the processor.
+    PART = 1 << 14
+
     def __init__(self, model: Model, full: int, rate: float = 0.01):
-        self.model, self.full, self.rate, self.updates = model, full, rate, 0
+        self.full, self.rate, self.updates = full, rate, 0
         #: Words learned from.
         self.learned = 0
-        self._m = [np.zeros_like(p) for p in model.parts()]
-        self._v = [np.zeros_like(p) for p in model.parts()]
+        # All weights one after the other, which the model's parts are views of.
+        self._flat = model.packed()
+        self.model = Model(*model.views(self._flat))
+        self._sum, self._m, self._v = (np.zeros_like(self._flat) for _ in range(3))
+        self._grads = model.views(self._sum)
 
-    def _step(self, grads: list[np.ndarray], share: float) -> None:
+    def _step(self, share: float) -> None:
         self.updates += 1
-        size = np.sqrt(sum(float((g * g).sum()) for g in grads))
+        size = float(np.sqrt(np.dot(self._sum, self._sum)))
         scale = np.float32(min(1.0, 1.0 / (size + 1e-12)))
         b1, b2 = 0.9, 0.99
-        rate = self.rate * np.sqrt(min(1.0, share)) * np.sqrt(1 - b2**self.updates) / (1 - b1**self.updates)
-        for p, g, m, v in zip(self.model.parts(), grads, self._m, self._v, strict=True):
+        rate = self.rate * min(1.0, share) ** 0.5 * (1 - b2**self.updates) ** 0.5 / (1 - b1**self.updates)
+        for at in range(0, len(self._flat), self.PART):
+            p, g, m, v = (a[at : at + self.PART] for a in (self._flat, self._sum, self._m, self._v))
             g *= scale
-            m += (1 - b1) * (g - m)
-            v += (1 - b2) * (g * g - v)
-            p -= (rate * m / (np.sqrt(v) + 1e-8)).astype(np.float32)
+            m += np.float32(1 - b1) * (g - m)
+            g *= g
+            g -= v
+            g *= np.float32(1 - b2)
+            v += g
+            np.sqrt(v, out=g)
+            g += np.float32(1e-8)
+            np.divide(m, g, out=g)
+            g *= np.float32(rate)
+            p -= g
 
     def learn(self, x, fresh, cls, word, used, h) -> np.ndarray:
         """Windows of (time, lane) arrays from the states h on, gradients cut between them; the last states."""
@@ -194,7 +321,8 @@ class Trainer:
             n = int(used[cut].sum())
             if not n:
                 break
-            grads, h = gradients(self.model, x[cut], fresh[cut], h, cls[cut], word[cut], used[cut])
-            self._step(grads, n / self.full)
+            self._sum.fill(0)
+            _, h = gradients(self.model, x[cut], fresh[cut], h, cls[cut], word[cut], used[cut], self._grads)
+            self._step(n / self.full)
             self.learned += n
         return h

@@ -14,6 +14,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,8 @@ ROUNDS, SEGMENT, LANES = 2, 2 * gru.WINDOW, 128
 # A token is a 58-bit hash of the word and, in the low 6 bits, its tail class.
 _TAILS = 40
 _MASK = (1 << 58) - 1
+#: Highest bits of a token by which a table finds it.
+_HEAD_BITS = 20
 
 
 def _tail_of(last: int) -> int:
@@ -46,18 +49,7 @@ def _tail_of(last: int) -> int:
     return {46: 26, 44: 27, 33: 28, 124: 29}.get(last, 30 if 48 <= last <= 57 else 31)
 
 
-class _Tokens(dict):
-    LIMIT = 500_000
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        code = (xxhash.xxh3_64_intdigest(word) & _MASK) << 6 | _tail_of(word[-1])
-        value = self[word] = code - (1 << 63)
-        return value
-
-
-_tokens = _Tokens()
+_TAIL_OF = np.array([_tail_of(last) for last in range(256)], np.uint64)
 #: The end of a document; no word has its code, which would be that of an empty word.
 END = (xxhash.xxh3_64_intdigest(b"") & _MASK) << 6 | 31
 END -= 1 << 63
@@ -67,7 +59,11 @@ def tokens(text: bytes | None) -> np.ndarray:
     """Tokens of a text, A-Z in lower case, with the end token last."""
     found = text.lower().split() if text else []
     out = np.empty(len(found) + 1, np.int64)
-    out[:-1] = np.fromiter(map(_tokens.__getitem__, found), np.int64, len(found))
+    # Hashing anew is faster than asking a dictionary of many words.
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
+    last = np.fromiter(map(itemgetter(-1), found), np.uint8, len(found))
+    codes = (hashes & np.uint64(_MASK)) << np.uint64(6) | _TAIL_OF[last]
+    out[:-1] = (codes ^ np.uint64(1 << 63)).view(np.int64)
     out[-1] = END
     return out
 
@@ -98,13 +94,25 @@ class Table:
     n: int
     v: int
 
+    def __post_init__(self):
+        # Where tokens with the same highest bits begin; they are hashes, so few share these.
+        edges = np.arange(1 << _HEAD_BITS, dtype=np.int64) - (1 << _HEAD_BITS - 1) << 64 - _HEAD_BITS
+        self._starts = np.append(np.searchsorted(self.token, edges), len(self.token)).astype(np.int32)
+
     def look_up(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Whether a token is in the table, its count, and its input number."""
         tail = SHORTLIST + (found & 63)
         if not len(self.token):
             return np.zeros(len(found), bool), np.zeros(len(found), np.int64), tail
-        at = np.minimum(np.searchsorted(self.token, found), len(self.token) - 1)
+        head = (found >> 64 - _HEAD_BITS) + (1 << _HEAD_BITS - 1)
+        at, end = self._starts[head], self._starts[head + 1]
+        at[at == len(self.token)] = 0
         there = self.token[at] == found
+        left = np.flatnonzero(~there & (at + 1 < end))
+        while len(left):
+            at[left] += 1
+            there[left] = self.token[at[left]] == found[left]
+            left = left[~there[left] & (at[left] + 1 < end[left])]
         return there, np.where(there, self.count[at], 0), np.where(there, self.input[at], tail)
 
 
@@ -247,35 +255,29 @@ def _model_scores(model: gru.Model, docs: list[np.ndarray], end: int) -> np.ndar
     if not docs:
         return out
     lanes = _lanes([len(d) for d in docs])
-    steps = max(sum(len(docs[d]) for d in lane) for lane in lanes)
+    lanes.sort(key=lambda lane: -sum(len(docs[d]) for d in lane))  # those that end first come last
+    dealt = [d for lane in lanes for d in lane]
+    sizes = np.array([len(docs[d]) for d in dealt], np.int64)
+    flow = np.concatenate([docs[d] for d in dealt]).astype(np.int32)
+    owner = np.repeat(np.array(dealt, np.int32), sizes)
+    opens = np.zeros(len(flow), bool)
+    opens[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
+    lengths = np.array([sum(len(docs[d]) for d in lane) for lane in lanes], np.int64)
+    begins = np.cumsum(lengths) - lengths
     h = np.zeros((len(lanes), gru.HIDDEN), np.float32)
-    # Lanes are laid out window by window, so memory is bounded by lanes x window.
-    flows = [np.concatenate([docs[d] for d in lane]) for lane in lanes]
-    owner = [np.repeat(lane, [len(docs[d]) for d in lane]) for lane in lanes]
-    starts = [np.cumsum([0, *(len(docs[d]) for d in lane[:-1])]) for lane in lanes]
-    for at in range(0, steps, gru.WINDOW):
-        live = [i for i, flow in enumerate(flows) if len(flow) > at]
-        if len(live) < len(h):
-            flows, owner, starts = ([x[i] for i in live] for x in (flows, owner, starts))
-            h = h[live]
-        x = np.full((gru.WINDOW, len(flows)), end, np.int64)
-        y, who = x.copy(), np.full(x.shape, -1)
-        fresh = np.zeros(x.shape, bool)
-        for lane, flow in enumerate(flows):
-            now = flow[at : at + gru.WINDOW]
-            y[: len(now), lane] = now
-            who[: len(now), lane] = owner[lane][at : at + gru.WINDOW]
-            if at:
-                x[0, lane] = flow[at - 1]
-            x[1 : len(now), lane] = now[:-1]
-            first = starts[lane][(starts[lane] >= at) & (starts[lane] < at + gru.WINDOW)] - at
-            fresh[first, lane] = True
-            x[first, lane] = end
-        states, h, _ = gru.forward(model, x, fresh, h)
-        real = who.reshape(-1) >= 0
-        cls, word = _targets(y.reshape(-1)[real])
+    # Lanes are read window by window, so memory besides the documents is bounded by lanes x window.
+    for start in range(0, int(lengths[0]), gru.WINDOW):
+        live = int(np.count_nonzero(lengths > start))
+        step = start + np.arange(gru.WINDOW)[:, None]
+        real = (step < lengths[:live]).reshape(-1)
+        at = np.minimum(begins[:live] + step, len(flow) - 1)
+        fresh = opens[at]
+        x = np.where(fresh, end, flow[at - 1])
+        states, h, _ = gru.forward(model, x, fresh, h[:live])
+        at = at.reshape(-1)[real]
+        cls, word = _targets(flow[at])
         scores = gru.log_probs(model, states.reshape(-1, gru.HIDDEN)[real], cls, word)
-        out += np.bincount(who.reshape(-1)[real], scores, len(docs))
+        out += np.bincount(owner[at], scores, len(docs))
     return out
 
 

@@ -291,3 +291,68 @@ def test_pipeline_on_odd_rows(spark, odd_docs, no_docs, sf_dir):
         for name, stage in corpus_pipeline.STAGES:
             docs = corpus_pipeline.materialize(stage(spark, docs, sf_dir), name)
         assert (docs.count() > 0) == (start is odd_docs)
+
+
+def test_runs_are_added_like_one_by_one():
+    rng = np.random.default_rng(6)
+    ids = np.concatenate([rng.integers(0, 40, 90), np.full(30, 3), [41, 41]])
+    rows = rng.normal(0, 1, (len(ids), 5)).astype(np.float32)
+    order = np.argsort(ids, kind="stable")
+    first = np.flatnonzero(np.diff(ids[order], prepend=-1))
+    out, expected = np.ones((43, 5), np.float32), np.ones((43, 5))
+    gru._add_runs(out, ids[order[first]], rows, order, first)
+    np.add.at(expected, ids, rows)
+    assert np.allclose(out, expected, atol=1e-5)
+
+
+@pytest.mark.parametrize("size", [0.2, 40.0])
+def test_log_probs_of_near_and_far_logits(size):
+    """Weights of 40 put logits hundreds apart, where only each row's own largest may be taken off."""
+    rng = np.random.default_rng(7)
+    model = gru.initial(rng.integers(1, 9, 128), np.array([4.0, 2.0]))
+    model = model.unpacked(rng.normal(0, size, len(model.packed())))
+    h = rng.uniform(-1, 1, (2000, gru.HIDDEN)).astype(np.float32)
+    cls = rng.integers(0, 4, 2000)
+    word = np.where(cls < 2, rng.integers(0, 64, 2000), 0)
+
+    def logs(logits):
+        largest = logits.max(1, keepdims=True)
+        return logits - largest - np.log(np.exp(logits - largest).sum(1, keepdims=True))
+
+    wide = h.astype(np.float64)
+    expected = logs(wide @ model.classes + model.class_bias)[np.arange(2000), cls]
+    for k in (0, 1):
+        at = np.flatnonzero(cls == k)
+        expected[at] += logs(wide[at] @ model.words[k] + model.word_bias[k])[np.arange(len(at)), word[at]]
+    assert (gru._shift(model.classes, model.class_bias, 1.0) is None) == (size > 1)
+    assert np.allclose(gru.log_probs(model, h, cls, word), expected, rtol=1e-4, atol=1e-3)
+
+
+def test_table_finds_what_it_holds():
+    rng = np.random.default_rng(8)
+    near = (rng.integers(-1 << 62, 1 << 62) >> 40 << 40) + np.arange(9) * 64  # the same highest bits
+    token = np.unique(np.concatenate([rng.integers(-1 << 63, (1 << 63) - 1, 3000), near, [-1 << 63, (1 << 63) - 1]]))
+    none = np.zeros(40, np.int64)
+    known = lm_scoring.Table(token[::2], np.arange(len(token[::2])), token[::2] & 63, none, none, none, 0, 0)
+    there, count, inputs = known.look_up(token)
+    place = {t: i for i, t in enumerate(token[::2].tolist())}
+    assert there.tolist() == [t in place for t in token.tolist()]
+    assert count.tolist() == [place.get(t, 0) for t in token.tolist()]
+    assert inputs[there].tolist() == (token[::2] & 63).tolist()
+
+
+def test_learning_takes_no_array_of_doubles():
+    """The step on all weights stays in the weights' own precision, and in place."""
+    rng = np.random.default_rng(9)
+    model = gru.initial(rng.integers(1, 9, 2048), np.ones(40))
+    trainer, weights = gru.Trainer(model, gru.WINDOW * 4), model.packed()
+    x, y = rng.integers(0, 2088, (2, 2 * gru.WINDOW, 4))
+    cls, word = lm_scoring._targets(y)
+    h, used = np.zeros((4, gru.HIDDEN), np.float32), np.ones(x.shape, bool)
+    before = [p.ctypes.data for p in trainer.model.parts()]
+    h = trainer.learn(x, ~used, cls, word, used, h)
+    assert trainer.updates == 2 and h.dtype == np.float32
+    assert [p.ctypes.data for p in trainer.model.parts()] == before
+    assert all(p.dtype == np.float32 and p.base is trainer._flat for p in trainer.model.parts())
+    assert not np.array_equal(trainer.model.packed(), weights)
+    assert np.array_equal(model.packed(), weights)

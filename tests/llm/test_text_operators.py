@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from obsengine.llm import line_dedup, near_join, quality_rules, queries, secrets
+from obsengine.llm import line_dedup, near_join, quality_rules, queries, secrets, shingles
 from obsengine.llm.common import components
 from obsengine.llm.shingles import word_hashes
 
@@ -308,3 +308,32 @@ def test_line_tables_are_gone_before_variants(spark, monkeypatch):
     assert got == {1: (0, 0), 2: (0, 1), 3: (1, 0)}
     assert events.index("discard 2") < events.index("variants") < events.index("pairs")
     assert events[events.index("pairs") + 1] == "discard 1"
+
+
+def test_hashing_many_distinct_words_costs_what_hashing_costs():
+    """Each word is hashed once and nothing is remembered: texts have more distinct words than a worker can keep."""
+    import time
+
+    import xxhash
+
+    found = [b"word%d" % i for i in range(150_000)]
+
+    def seconds(work):
+        spent = []
+        for _ in range(5):
+            start = time.process_time()
+            work()
+            spent.append(time.process_time() - start)
+        return min(spent)
+
+    plain = seconds(lambda: [xxhash.xxh3_64_intdigest(w) for w in found])
+    assert seconds(lambda: word_hashes(found)) < 2 * plain
+    assert word_hashes(found[:9]).tolist() == [xxhash.xxh3_64_intdigest(w) for w in found[:9]]
+
+
+def test_shingle_sets_are_sorted_and_distinct():
+    text = b" ".join([b"a b c d e f"] * 40) + b" x y z"
+    found = shingles.shingle_set(text)
+    whole = shingles.combine(word_hashes(text.split()), 5)
+    assert found.tolist() == sorted(set(whole.tolist()))
+    assert len(shingles.shingle_set(b"a B")) == 1 and len(shingles.shingle_set(None)) == 0
