@@ -44,7 +44,7 @@ from obsengine.llm.common import (
     whole_row,
 )
 from obsengine.llm.shingles import shingle_set
-from obsengine.session import materialize
+from obsengine.session import materialize, scratch_path
 
 #: Cells of the counting table and slices in which partial tables are added up.
 TABLE_BITS = 22
@@ -53,6 +53,8 @@ SLICES = 128
 #: Bits of a set's bitmap, and groups per side of a block.
 SET_BITS = 512
 BLOCK = 1024
+#: Shares of the postings that are shuffled one after the other, so that disk holds one of them at a time.
+PASSES = 4
 #: Groups sharing a token from which the first meeting is for the most alike only.
 OFTEN = 64
 
@@ -187,6 +189,25 @@ def _shared(postings: DataFrame) -> DataFrame:
     return cold.union(postings.filter("at >= cold").select(*columns))
 
 
+def _shared_by_passes(groups: DataFrame, percent: int) -> DataFrame:
+    """The stored postings that several groups share, with the band of their sizes.
+
+    A token is a hash, and its remainder tells the pass in which its postings are shuffled.
+    """
+    spark = groups.sparkSession
+    postings = groups.select("gid", "n", "cold", F.posexplode("prefix").alias("at", "token"))
+    # Two sizes of one band differ by less than a factor of 100 / percent.
+    band = F.floor(F.log("n") / F.log(F.lit(100 / percent)) + 1e-9)
+    path = scratch_path(spark, "shared")
+    for turn in range(PASSES):
+        part = _shared(postings.filter(F.pmod("token", F.lit(PASSES)) == turn)).withColumn("band", band)
+        schema = part.schema
+        part.write.mode("append").parquet(path)
+        del part
+        free_shuffles(spark)
+    return spark.read.schema(schema).parquet(path)
+
+
 def _verified(
     docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, percent: int, unique: bool
 ) -> DataFrame:
@@ -410,14 +431,12 @@ def near_join(
     groups = marked.filter(~F.col("_possible")).select(*columns).union(
         marked.filter("_possible").select(*columns).distinct()
     )
-    postings = groups.select("gid", "n", "cold", F.posexplode("prefix").alias("at", "token"))
-    # Two sizes of one band differ by less than a factor of 100 / percent.
-    band = F.floor(F.log("n") / F.log(F.lit(100 / percent)) + 1e-9)
-    shared = materialize(_shared(postings).withColumn("band", band), "shared")
-
     members = materialize(classes.select("gid", "key", "bits"), "members")
+    groups = materialize(groups, "groups")
     prefixes, rows = rows, materialize(rows.select("id", "n", "key"), "rows")
-    discard(prefixes)  # only the postings are read from now on
+    discard(prefixes)  # only the groups are read from now on
+    shared = _shared_by_passes(groups, percent)
+    discard(groups)
     # The star only finds links early, so a pair may be left to the second pass.
     pivots = shared.groupBy("token", "band").agg(F.min("gid").alias("pivot"))
     star = (

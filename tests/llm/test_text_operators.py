@@ -337,3 +337,20 @@ def test_shingle_sets_are_sorted_and_distinct():
     whole = shingles.combine(word_hashes(text.split()), 5)
     assert found.tolist() == sorted(set(whole.tolist()))
     assert len(shingles.shingle_set(b"a B")) == 1 and len(shingles.shingle_set(None)) == 0
+
+
+def test_postings_are_shuffled_share_by_share(spark, monkeypatch):
+    """Disk holds the shuffle of one share of the tokens at a time, and all shares together are whole."""
+    turns, shared = [], near_join._shared
+
+    def seen(postings):
+        turns.append({r[0] for r in postings.selectExpr(f"pmod(token, {near_join.PASSES})").distinct().collect()})
+        return shared(postings)
+
+    monkeypatch.setattr(near_join, "_shared", seen)
+    text = [f"w{i} and then w{i + 1} some w{i * i} of it" for i in range(40)]
+    rows = [(i, " ".join(text[i % 5 : i % 5 + 30])) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in near_join.near_join(docs).collect()}
+    assert sorted(map(list, turns)) == [[k] for k in range(near_join.PASSES)]
+    assert found == {i: 0 for i in range(20)}
