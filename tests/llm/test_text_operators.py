@@ -354,3 +354,12 @@ def test_postings_are_shuffled_share_by_share(spark, monkeypatch):
     found = {r.doc_id: r.component_id for r in near_join.near_join(docs).collect()}
     assert sorted(map(list, turns)) == [[k] for k in range(near_join.PASSES)]
     assert found == {i: 0 for i in range(20)}
+
+
+def test_line_keys_are_hashes_of_words():
+    """Lines that differ in one word share a half, and each word counts by its own hash."""
+    line = [b"w%d" % i for i in range(12)]
+    other = [*line[:8], b"x", *line[9:]]
+    a, b = (line_dedup._halves(word_hashes(x)) for x in (line, other))
+    assert a[0] == b[0] and a[1] != b[1]
+    assert not isinstance(getattr(shingles, "_hashes", None), dict)  # no memory of words, which was slower
