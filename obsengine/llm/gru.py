@@ -75,34 +75,37 @@ def initial(word_counts: np.ndarray, tail_counts: np.ndarray, seed: int = 1) ->
 def forward(m: Model, x: np.ndarray, fresh: np.ndarray, h: np.ndarray):
     """States after each of the steps x (time, lane), the last ones, and what gradients need of the way there.
 
-    Where ``fresh``, a lane starts from zero.
+    Where ``fresh``, a lane starts from zero. No state is beyond the larger of 1 and the largest of ``h``.
     """
     steps, lanes = x.shape
-    both = 2 * HIDDEN
-    # Update and reset gates side by side, negated for the logistic function.
-    zr, n = -m.gates[:, :both][x], m.gates[:, both:][x]
-    to_gates, to_new = -m.state[:, :both], np.ascontiguousarray(m.state[:, both:])
-    before, states = (np.empty((steps, lanes, HIDDEN), np.float32) for _ in range(2))
-    un = np.empty((steps, lanes, HIDDEN), np.float32)
+    # Update, reset and candidate of a step one after the other, (time, 3, lane, hidden).
+    zrn = m.gates.reshape(-1, HIDDEN).take(x[:, None].astype(np.intp) * 3 + np.arange(3)[:, None], axis=0)
+    by_gate = m.state.reshape(HIDDEN, 3, HIDDEN).transpose(1, 0, 2)
+    to_gates, to_new = -by_gate[:2], np.ascontiguousarray(by_gate[2])  # gates are negated for the logistic function
+    before, states, un = (np.empty((steps, lanes, HIDDEN), np.float32) for _ in range(3))
+    both, one = np.empty((2, lanes, HIDDEN), np.float32), np.empty((lanes, HIDDEN), np.float32)
     starts = fresh.any(1).tolist()
     with np.errstate(over="ignore"):  # a gate of 1 / inf is 0
         for t in range(steps):
-            now, gates, new, out = before[t], zr[t], n[t], states[t]
+            now, new, out = before[t], zrn[t, 2], states[t]
             now[:] = h
             if starts[t]:
                 now[fresh[t]] = 0
-            gates += now @ to_gates
+            gates = zrn[t, :2]
+            np.matmul(now, to_gates, out=both)
+            np.subtract(both, gates, out=gates)
             np.exp(gates, out=gates)
             gates += 1
             np.reciprocal(gates, out=gates)
             np.matmul(now, to_new, out=un[t])
-            new += gates[:, HIDDEN:] * un[t]
+            np.multiply(gates[1], un[t], out=one)
+            new += one
             np.tanh(new, out=new)
             np.subtract(now, new, out=out)
-            out *= gates[:, :HIDDEN]
+            out *= gates[0]
             out += new
             h = out
-    return states, h, (before, zr, n, un)
+    return states, h, (before, zrn, un)
 
 
 def _shift(weights: np.ndarray, bias: np.ndarray, reach: float) -> np.ndarray | None:
@@ -122,42 +125,54 @@ def _with_bias(weights: np.ndarray, bias: np.ndarray, shift: np.ndarray | None)
     return np.concatenate([weights, bias[..., None, :]], -2)
 
 
+class Heads:
+    """Weights of both softmax layers, their biases below, for states up to ``reach``."""
+
+    def __init__(self, m: Model, reach: float):
+        shift = _shift(m.classes, m.class_bias, reach)
+        self.safe_top, self.top = shift is not None, _with_bias(m.classes, m.class_bias, shift)
+        shift = _shift(m.words, m.word_bias, reach)
+        self.safe_words, self.words = shift is not None, _with_bias(m.words, m.word_bias, shift)
+
+
 class _Output:
     """Both softmax layers on states in the order of their classes."""
 
     #: Rows at a time, so that their logits stay near the processor.
     ROWS = 512
 
-    def __init__(self, m: Model, h: np.ndarray, cls: np.ndarray, word: np.ndarray, rows: np.ndarray | None = None):
+    def __init__(self, heads: Heads, h: np.ndarray, cls: np.ndarray, word: np.ndarray, rows: np.ndarray | None = None):
         """``rows``: those that count, all by default."""
-        if rows is None:
-            rows = np.arange(len(cls))
-        self.order = rows[np.argsort(cls[rows].astype(np.uint16), kind="stable")]
-        self.cls, self.word = cls[self.order], word[self.order]
-        self.states = np.ones((len(rows), HIDDEN + 1), np.float32)
-        self.states[:, :HIDDEN] = h[self.order]
-        reach = float(np.abs(self.states).max(initial=0))
-        shift = _shift(m.classes, m.class_bias, reach)
-        self._safe_top, self._top = shift is not None, _with_bias(m.classes, m.class_bias, shift)
-        shift = _shift(m.words, m.word_bias, reach)
-        self._safe_words, self._words = shift is not None, _with_bias(m.words, m.word_bias, shift)
-        ends = np.searchsorted(self.cls, np.arange(len(m.words) + 1)).tolist()
+        self._heads = heads
+        narrow = (cls if rows is None else cls[rows]).astype(np.uint16)
+        order = np.argsort(narrow, kind="stable")
+        self.cls, self.order = narrow[order], order if rows is None else rows[order]
+        self.states = np.ones((len(self.order), HIDDEN + 1), np.float32)
+        self.states[:, :HIDDEN] = h.take(self.order, axis=0)
+        ends = np.searchsorted(self.cls, np.arange(len(heads.words) + 1, dtype=np.uint16)).tolist()
         #: Shortlist class and its rows, for each that occurs.
         self.groups = [(k, slice(a, b)) for k, (a, b) in enumerate(zip(ends, ends[1:])) if b > a]
         self.short = ends[-1]
-
-    def class_logits(self) -> Iterator[tuple[slice, np.ndarray]]:
-        logits = np.empty((self.ROWS, self._top.shape[1]), np.float32)
+        # Where the chosen columns are in logits laid flat.
+        classes = heads.top.shape[1]
+        self._class_at = np.arange(len(self.cls)) % self.ROWS * classes + self.cls
+        self._word_at = np.arange(self.short) * CLASS_SIZE + word[self.order[: self.short]]
+
+    def class_logits(self) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+        """Rows, their logits, and where the chosen ones are in these laid flat."""
+        top = self._heads.top
+        logits = np.empty((min(self.ROWS, len(self.cls)), top.shape[1]), np.float32)
         for at in range(0, len(self.cls), self.ROWS):
             rows = slice(at, min(at + self.ROWS, len(self.cls)))
-            found = np.matmul(self.states[rows], self._top, out=logits[: rows.stop - at])
-            yield rows, _below(found, self._safe_top)
+            found = np.matmul(self.states[rows], top, out=logits[: rows.stop - at])
+            yield rows, _below(found, self._heads.safe_top), self._class_at[rows]
 
-    def word_logits(self) -> np.ndarray:
+    def word_logits(self) -> tuple[np.ndarray, np.ndarray]:
+        """Logits of the rows with a shortlist class, and where the chosen ones are in these laid flat."""
         logits = np.empty((self.short, CLASS_SIZE), np.float32)
         for k, rows in self.groups:
-            np.matmul(self.states[rows], self._words[k], out=logits[rows])
-        return _below(logits, self._safe_words)
+            np.matmul(self.states[rows], self._heads.words[k], out=logits[rows])
+        return _below(logits, self._heads.safe_words), self._word_at
 
 
 def _below(logits: np.ndarray, safe: bool) -> np.ndarray:
@@ -173,25 +188,31 @@ def _sums(values: np.ndarray) -> np.ndarray:
 
 def _log_at(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """Log-softmax of each row at its chosen column."""
-    out = logits[np.arange(len(logits)), chosen].astype(np.float64)
+    out = logits.reshape(-1)[chosen].astype(np.float64)
     return out - np.log(_sums(np.exp(logits, out=logits)))
 
 
-def _softmax_less(logits: np.ndarray, chosen: np.ndarray, weight: np.float32) -> np.ndarray:
-    """``weight`` times the softmax of each row, less the same at its chosen column: the loss by the logits."""
-    np.exp(logits, out=logits)
-    logits *= (weight / _sums(logits))[:, None]
-    logits[np.arange(len(logits)), chosen] -= weight
-    return logits
+def _exp_less(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Turn logits into a multiple of the softmax less 1 at the chosen columns: the loss by the logits.
+
+    Returned is what each row is still to be multiplied by; what comes of the
+    products with it is narrower than the logits.
+    """
+    sums = _sums(np.exp(logits, out=logits))
+    logits.reshape(-1)[chosen] -= sums
+    return np.reciprocal(sums, out=sums)[:, None]
+
 
+def log_probs(m: Model, h: np.ndarray, cls: np.ndarray, word: np.ndarray, heads: Heads | None = None) -> np.ndarray:
+    """Natural log-probability of the class, and of the word in it for shortlist classes, given states.
 
-def log_probs(m: Model, h: np.ndarray, cls: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """Natural log-probability of the class, and of the word in it for shortlist classes, given states."""
-    top = _Output(m, h, cls, word)
+    ``heads``: those of the model for such states, if they are at hand.
+    """
+    top = _Output(heads or Heads(m, float(np.abs(h).max(initial=0))), h, cls, word)
     found = np.empty(len(cls))
-    for rows, logits in top.class_logits():
-        found[rows] = _log_at(logits, top.cls[rows])
-    found[: top.short] += _log_at(top.word_logits(), top.word[: top.short])
+    for rows, logits, chosen in top.class_logits():
+        found[rows] = _log_at(logits, chosen)
+    found[: top.short] += _log_at(*top.word_logits())
     out = np.empty(len(cls))
     out[top.order] = found
     return out
@@ -202,59 +223,74 @@ def gradients(m: Model, x, fresh, h, cls, word, used, out: list[np.ndarray] | No
 
     ``out``: zeros in the shapes of the model's parts, to be filled.
     """
-    states, last, (before, zr, n, un) = forward(m, x, fresh, h)
+    heads = Heads(m, max(1.0, float(np.abs(h).max(initial=0))))
+    states, last, (before, zrn, un) = forward(m, x, fresh, h)
     g = [np.zeros_like(p) for p in m.parts()] if out is None else out
     rows = np.flatnonzero(used)
     weight = np.float32(1 / max(1, len(rows)))
-    top = _Output(m, states.reshape(-1, HIDDEN), cls.reshape(-1), word.reshape(-1), rows)
-    dh = np.empty((len(rows), HIDDEN), np.float32)
-    for at, logits in top.class_logits():
-        d = _softmax_less(logits, top.cls[at], weight)
-        both = top.states[at].T @ d
+    top = _Output(heads, states.reshape(-1, HIDDEN), cls.reshape(-1), word.reshape(-1), rows)
+    dh, back = np.empty((len(rows), HIDDEN), np.float32), np.ascontiguousarray(m.classes.T)
+    for at, logits, chosen in top.class_logits():
+        share = _exp_less(logits, chosen)
+        both = (top.states[at] * share).T @ logits
         g[2] += both[:HIDDEN]
         g[3] += both[HIDDEN]
-        np.matmul(d, m.classes.T, out=dh[at])
-    d = _softmax_less(top.word_logits(), top.word[: top.short], weight)
+        part = np.matmul(logits, back, out=dh[at])
+        part *= share
+    logits, chosen = top.word_logits()
+    share = _exp_less(logits, chosen)
+    scaled, part = top.states[: top.short] * share, np.empty((top.short, HIDDEN), np.float32)
+    back = np.ascontiguousarray(m.words.transpose(0, 2, 1))
     for k, at in top.groups:
-        both = top.states[at].T @ d[at]
+        d = logits[at]
+        both = scaled[at].T @ d
         g[4][k], g[5][k] = both[:HIDDEN], both[HIDDEN]
-        dh[at] += d[at] @ m.words[k].T
+        np.matmul(d, back[k], out=part[at])
+    part *= share
+    dh[: top.short] += part
+    dh *= weight
+    for k in (2, 3, 4, 5):
+        g[k] *= weight
     by_state = np.zeros((states.size // HIDDEN, HIDDEN), np.float32)
     by_state[top.order] = dh
     by_state = by_state.reshape(states.shape)
     du, back, starts = np.empty((*x.shape, 3, HIDDEN), np.float32), np.ascontiguousarray(m.state.T), fresh.any(1).tolist()
-    carried = np.zeros_like(last)
+    carried, kept = np.zeros_like(last), np.empty_like(last)
     for begin in range((len(x) - 1) // STEPS * STEPS, -1, -STEPS):
         now = slice(begin, begin + STEPS)
-        z, r, new = zr[now, :, :HIDDEN], zr[now, :, HIDDEN:], n[now]
+        z, r, new = zrn[now, 0], zrn[now, 1], zrn[now, 2]
         # What a change of a state is multiplied by for each of the three gates; only the sums go step by step.
         by_new = new * new
         np.subtract(1, by_new, out=by_new)
         keep = 1 - z
         by_new *= keep
         keep *= z
-        keep *= before[now] - new
+        new -= before[now]
+        keep *= new
         reset = by_new * r
         factor = du[now]
-        factor[:, :, 0] = keep
+        np.negative(keep, out=factor[:, :, 0])
         factor[:, :, 2] = reset
         reset *= un[now]
-        reset *= 1 - r
-        factor[:, :, 1] = reset
+        np.subtract(1, r, out=r)
+        np.multiply(reset, r, out=factor[:, :, 1])
         for t in range(min(begin + STEPS, len(x)) - 1, begin - 1, -1):
             dh = by_state[t]
             dh += carried
             du[t] *= dh[:, None]
             np.matmul(du[t].reshape(-1, 3 * HIDDEN), back, out=carried)
-            carried += dh * z[t - begin]
+            carried += np.multiply(dh, zrn[t, 0], out=kept)
             if starts[t]:
                 carried[fresh[t]] = 0
         g[1] += before[now].reshape(-1, HIDDEN).T @ factor.reshape(-1, 3 * HIDDEN)
         np.multiply(by_state[now], by_new, out=factor[:, :, 2])
     ids = x.reshape(-1)
-    order = np.argsort(ids.astype(np.uint16) if len(m.gates) <= 1 << 16 else ids, kind="stable")
-    first = np.flatnonzero(np.diff(ids[order], prepend=-1))
-    _add_runs(g[0], ids[order[first]], du.reshape(-1, 3 * HIDDEN), order, first)
+    if len(m.gates) <= 1 << 16:
+        ids = ids.astype(np.uint16)
+    order = np.argsort(ids, kind="stable")
+    ids = ids[order]
+    first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+    _add_runs(g[0], ids[first], du.reshape(-1, 3 * HIDDEN), order, first)
     return g, last
 
 
@@ -268,13 +304,15 @@ def _add_runs(
     sizes = np.diff(np.append(first, len(order)))
     longest_first = np.argsort(-sizes, kind="stable")
     ids, first, sizes = ids[longest_first], first[longest_first], sizes[longest_first]
-    sums = rows[order[first]]
+    rows = rows.take(order, axis=0)
+    sums = rows.take(first, axis=0)
     long = int(np.count_nonzero(sizes > short))
+    ones = np.ones(sizes.max(initial=0), np.float32)
     for k, (at, n) in enumerate(zip(first[:long].tolist(), sizes[:long].tolist(), strict=True)):
-        np.matmul(np.ones(n, np.float32), rows[order[at : at + n]], out=sums[k])
+        np.matmul(ones[:n], rows[at : at + n], out=sums[k])
     for k in range(1, short):
         some = int(np.count_nonzero(sizes > k))
-        sums[long:some] += rows[order[first[long:some] + k]]
+        sums[long:some] += rows.take(first[long:some] + k, axis=0)
     out[ids] += sums
 
 
@@ -291,8 +329,11 @@ class Trainer:
         # All weights one after the other, which the model's parts are views of.
         self._flat = model.packed()
         self.model = Model(*model.views(self._flat))
+        # Both running sums are kept without the factors 1 - b1 and 1 - b2.
         self._sum, self._m, self._v = (np.zeros_like(self._flat) for _ in range(3))
         self._grads = model.views(self._sum)
+        cuts = (slice(at, at + self.PART) for at in range(0, len(self._flat), self.PART))
+        self._parts = [tuple(a[cut] for a in (self._flat, self._sum, self._m, self._v)) for cut in cuts]
 
     def _step(self, share: float) -> None:
         self.updates += 1
@@ -300,18 +341,20 @@ class Trainer:
         scale = np.float32(min(1.0, 1.0 / (size + 1e-12)))
         b1, b2 = 0.9, 0.99
         rate = self.rate * min(1.0, share) ** 0.5 * (1 - b2**self.updates) ** 0.5 / (1 - b1**self.updates)
-        for at in range(0, len(self._flat), self.PART):
-            p, g, m, v = (a[at : at + self.PART] for a in (self._flat, self._sum, self._m, self._v))
-            g *= scale
-            m += np.float32(1 - b1) * (g - m)
+        rate, least = np.float32(rate * (1 - b1) / (1 - b2) ** 0.5), np.float32(1e-8 / (1 - b2) ** 0.5)
+        b1, b2 = np.float32(b1), np.float32(b2)
+        for p, g, m, v in self._parts:
+            if scale < 1:
+                g *= scale
+            m *= b1
+            m += g
             g *= g
-            g -= v
-            g *= np.float32(1 - b2)
+            v *= b2
             v += g
             np.sqrt(v, out=g)
-            g += np.float32(1e-8)
+            g += least
             np.divide(m, g, out=g)
-            g *= np.float32(rate)
+            g *= rate
             p -= g
 
     def learn(self, x, fresh, cls, word, used, h) -> np.ndarray:

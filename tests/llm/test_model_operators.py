@@ -356,3 +356,56 @@ def test_learning_takes_no_array_of_doubles():
     assert all(p.dtype == np.float32 and p.base is trainer._flat for p in trainer.model.parts())
     assert not np.array_equal(trainer.model.packed(), weights)
     assert np.array_equal(model.packed(), weights)
+
+
+def test_texts_are_cut_up_for_counts_and_once_more(spark, tmp_path, monkeypatch):
+    """Training and scoring read the numbers of the tokens, not the text."""
+    calls, cut = str(tmp_path / "calls"), lm_scoring.tokens
+
+    def noted(text):
+        with open(calls, "ab") as out:
+            out.write(b".")
+        return cut(text)
+
+    monkeypatch.setattr(lm_scoring, "tokens", noted)
+    docs = spark.createDataFrame([(i, f"some words of text {i}") for i in range(60)], "doc_id bigint, text string")
+    rows = lm_scoring.lm_scores(docs).collect()
+    trained = sum(not r.held_out for r in rows)
+    assert 0 < trained < 60
+    with open(calls, "rb") as out:
+        assert len(out.read()) == 60 + trained
+
+
+def test_coded_documents_train_like_their_texts(spark):
+    texts = [" ".join(f"w{(i * j) % 97}" for j in range(i % 150)) for i in range(200)] + [None, "", "w1 W1\tunseen"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    docs = docs.selectExpr("doc_id", "cast(text AS binary) AS _bytes")
+    known = lm_scoring._table(lm_scoring._counts(docs.filter("doc_id < 202")))
+    table = spark.sparkContext.broadcast(known)
+    coded = lm_scoring._coded(docs, table)
+    assert "_bytes" not in coded.columns
+    unseen = 0
+    for r in coded.collect():
+        text = (texts[r.doc_id] or "").encode()
+        found = lm_scoring.tokens(text)
+        there, count, inputs = known.look_up(found)
+        assert np.array_equal(np.frombuffer(r.inputs, np.uint16), inputs)
+        assert r.turn == lm_scoring.xxhash.xxh3_64_intdigest(text) % lm_scoring.ROUNDS
+        assert r.rest == found[~there].tolist()
+        assert (r.n_tokens, r.n_known) == (len(found), np.count_nonzero(count))
+        unseen += len(r.rest)
+    assert unseen == 1
+    model = gru.initial(known.words, known.tail_total.astype(np.float64))
+    (one, n), (other, m) = (lm_scoring._train(d, table, model, 1) for d in (docs, coded.select("turn", "inputs")))
+    assert n == m > 0 and np.array_equal(one.packed(), other.packed())
+
+
+def test_tokens_are_hashes_with_the_class_of_the_last_byte():
+    texts = [b"", b" ", b"a", b" A\tb.\v\x1c \x85\n", "\u00e9t\u00e9 \u00a0 2,".encode(), b"x" * 300 + b"\r\f" + b"\xff\x00"]
+    for text in texts:
+        expected = []
+        for word in text.lower().split():
+            code = (lm_scoring.xxhash.xxh3_64_intdigest(word) & lm_scoring._MASK) << 6 | lm_scoring._tail_of(word[-1])
+            expected.append(code - (1 << 63))
+        assert lm_scoring.tokens(text).tolist() == [*expected, lm_scoring.END]
+    assert lm_scoring.tokens(None).tolist() == [lm_scoring.END]
