@@ -116,7 +116,7 @@ class Table:
             return np.zeros(len(found), bool), np.zeros(len(found), np.int64), tail
         head = (found >> 64 - _HEAD_BITS) + (1 << _HEAD_BITS - 1)
         at, end = self._starts[head], self._starts[head + 1]
-        at[at == len(self.token)] = 0
+        at[at == len(self.token)] -= 1  # beyond the last token: this differs, and none comes after it
         there = self.token[at] == found
         left = np.flatnonzero(~there & (at + 1 < end))
         while len(left):

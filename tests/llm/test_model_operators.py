@@ -409,3 +409,23 @@ def test_tokens_are_hashes_with_the_class_of_the_last_byte():
             expected.append(code - (1 << 63))
         assert lm_scoring.tokens(text).tolist() == [*expected, lm_scoring.END]
     assert lm_scoring.tokens(None).tolist() == [lm_scoring.END]
+
+
+def test_a_token_beyond_the_table_is_not_searched_for():
+    """As few places are read for a token after the last of the table as for others."""
+
+    class Counted(np.ndarray):
+        reads = 0
+
+        def __getitem__(self, at):
+            Counted.reads += 1
+            return np.asarray(self)[at]
+
+    none = np.zeros(40, np.int64)
+    token = np.arange(-40_000, 0) << 40
+    known = lm_scoring.Table(token, np.ones(len(token), np.int64), token & 63, none, none, none, 0, 0)
+    known.token = known.token.view(Counted)
+    there, count, inputs = known.look_up(np.array([(1 << 63) - 64, token[-1], token[0] - 64, token[7], token[-1] + 64]))
+    assert there.tolist() == [False, True, False, True, False] and count.tolist() == [0, 1, 0, 1, 0]
+    assert (inputs[~there] == lm_scoring.SHORTLIST).all()
+    assert Counted.reads < 100
